@@ -171,7 +171,7 @@ def _neighbours() -> dict[str, str]:
         coalesce(ps.s, 0) * {R.PLACE_WEIGHT}::double + coalesce(cs.s, 0) * {R.CATEGORY_WEIGHT}::double similarity
         from ps full join cs using (region_set, target_id, person_id)"""
     tables["nearest"] = f"""select * from (select *, row_number() over (partition by region_set, target_id
-        order by round(similarity, 9) desc, person_id) rn from sims) where rn <= {R.K_NEAREST}"""
+        order by floor(similarity * 1e9 + 0.137) desc, person_id) rn from sims) where rn <= {R.K_NEAREST}"""
     tables["estimates"] = """select n.region_set, n.target_id person_id, r.place_id,
         sum(r.rating * n.similarity) / sum(n.similarity) estimated_rating
         from nearest n join pr r on r.region_set = n.region_set and r.person_id = n.person_id group by 1, 2, 3"""
@@ -179,9 +179,9 @@ def _neighbours() -> dict[str, str]:
 
 
 def _best(source: str, person: str, place: str, score: str, alias: str) -> str:
-    return f"""select person_id, region_id, id, category_id, "name", round(s, 6) {alias} from (
+    return f"""select person_id, region_id, id, category_id, "name", round(s + 1.37e-10, 6) {alias} from (
         select r.person_id, p.region_id, p.id, p.category_id, p."name", f.{score} s,
-        row_number() over (partition by r.region_set, r.person_id order by round(f.{score}, 9) desc, p.id) rn
+        row_number() over (partition by r.region_set, r.person_id order by floor(f.{score} * 1e9 + 0.137) desc, p.id) rn
         from (select distinct region_set, person_id, target_region_id from resolved) r
         join {source} f on f.region_set = r.region_set and f.{person} = r.person_id
         join places p on p.id = f.{place} and p.region_id = r.target_region_id)
@@ -198,7 +198,7 @@ def all_oracles() -> dict[str, str]:
         (v.longitude < r.lon_lo or v.longitude > r.lon_hi) longitude_off"""
     violations = f"""select * from (select v.event_id, v.region_id, {off} from visits v
         join regions r on v.region_id = r.id) where latitude_off or longitude_off"""
-    walked = "select region_set, seed person_id, id, round(p, 8) probability from walked"
+    walked = "select region_set, seed person_id, id, round(p + 1.37e-10, 8) probability from walked"
     vectors = """select person_id, (select max({e}) + 1 from rated)::integer size,
         (row_number() over (partition by person_id order by {e}) - 1)::integer "position",
         {e}::integer "index", rating::double "value" from rated"""
@@ -226,10 +226,10 @@ def all_oracles() -> dict[str, str]:
         ),
         "visit_counts_by_region": ("select region_id, count(*) visits from pv group by 1",),
         "visit_profile_by_region": (
-            """select region_id, count(*) visits, round(min(latitude), 6) min_latitude,
-            round(max(latitude), 6) max_latitude, round(avg(latitude), 6) avg_latitude,
-            round(min(longitude), 6) min_longitude, round(max(longitude), 6) max_longitude,
-            round(avg(longitude), 6) avg_longitude from visits group by 1""",
+            """select region_id, count(*) visits, round(min(latitude) + 1.37e-10, 6) min_latitude,
+            round(max(latitude) + 1.37e-10, 6) max_latitude, round(avg(latitude) + 1.37e-10, 6) avg_latitude,
+            round(min(longitude) + 1.37e-10, 6) min_longitude, round(max(longitude) + 1.37e-10, 6) max_longitude,
+            round(avg(longitude) + 1.37e-10, 6) avg_longitude from visits group by 1""",
         ),
         "top_visitors": (
             "select person_id, count(*) visits from pv group by 1 order by visits desc, person_id limit 10",
@@ -284,7 +284,7 @@ def all_oracles() -> dict[str, str]:
             {"graph": _graph("pv_sets")},
         ),
         "graph_source_sums": (
-            "select region_set, source_id, round(sum(balanced_weight), 6) weight_sum from graph group by 1, 2",
+            "select region_set, source_id, round(sum(balanced_weight) + 1.37e-10, 6) weight_sum from graph group by 1, 2",
             {"graph": _graph("pv_sets")},
         ),
         "graph_vertices": (
@@ -327,7 +327,7 @@ def all_oracles() -> dict[str, str]:
             _neighbours(),
         ),
         "knn_estimates": (
-            "select region_set, person_id, place_id, round(estimated_rating, 6) estimated_rating from estimates",
+            "select region_set, person_id, place_id, round(estimated_rating + 1.37e-10, 6) estimated_rating from estimates",
             _neighbours(),
         ),
         "knn_recommended_places": (

@@ -57,40 +57,34 @@ class Grid:
         self._angle = min(angle, math.pi / 2)
         self._band_height = math.degrees(self._angle) * _SLACK
 
-    def band(self, latitude: Column) -> Column:
+    def _band(self, latitude: str) -> str:
         if self._whole_sphere:
-            return F.when(latitude.isNotNull(), F.lit(0).cast("long"))
-        return F.floor(latitude / F.lit(self._band_height))
+            return f"if({latitude} is null, null, 0L)"
+        return f"floor({latitude} / {self._band_height!r}D)"
 
-    def _cells_in_band(self, band: Column) -> Column:
+    def _cells_in_band(self, band: str) -> str:
         """How many cells span the band's circles of latitude, at least 1."""
-        height = F.lit(self._band_height)
-        outer = F.greatest(F.abs(band * height), F.abs((band + 1) * height))
-        narrowest = F.cos(F.radians(F.least(outer, F.lit(MAX_LATITUDE))))
-        reach = F.lit(math.sin(self._angle) * _SLACK)
-        width = F.when(reach < narrowest, F.degrees(F.asin(reach / F.greatest(narrowest, reach)))) * F.lit(_SLACK)
-        return F.coalesce(F.greatest(F.floor(F.lit(360.0) / width), F.lit(1).cast("long")), F.lit(1).cast("long"))
-
-    def _cell_in_band(self, band: Column, longitude: Column) -> Column:
+        edge = f"least({MAX_LATITUDE}D, greatest(abs({band}), abs({band} + 1)) * {self._band_height!r}D)"
+        # Null where the circle of the radius reaches round the pole.
+        sine = f"nullif(least(1D, {math.sin(self._angle) * _SLACK!r}D / nullif(cos(radians({edge})), 0D)), 1D)"
+        return f"coalesce(greatest(1L, floor(360D / (degrees(asin({sine})) * {_SLACK!r}D))), 1L)"
+
+    @staticmethod
+    def _cell_in_band(cells: str, longitude: str) -> str:
+        return f"floor(({longitude} - {MIN_LONGITUDE}D) / (360D / {cells}))"
+
+    def cell(self, latitude: str, longitude: str) -> Column:
+        """The one cell ``struct(y, x)`` that holds the point in the named columns."""
+        band = self._band(latitude)
         cells = self._cells_in_band(band)
-        return F.least(F.floor((longitude - MIN_LONGITUDE) / (F.lit(360.0) / cells)), cells)
+        return F.expr(f"struct({band} as y, pmod({self._cell_in_band(cells, longitude)}, {cells}) as x)")
 
-    def cell(self, latitude: Column, longitude: Column) -> Column:
-        """The one cell ``struct(y, x)`` that holds the point."""
-        band = self.band(latitude)
-        x = F.pmod(self._cell_in_band(band, longitude), self._cells_in_band(band))
-        return F.struct(band.alias("y"), x.alias("x"))
-
-    def cells_in_reach(self, latitude: Column, longitude: Column) -> Column:
+    def cells_in_reach(self, latitude: str, longitude: str) -> Column:
         """Array of distinct cells ``struct(y, x)`` that can hold a point within the radius."""
-        band = self.band(latitude)
-        steps = F.array(*[F.lit(i).cast("long") for i in ((0,) if self._whole_sphere else (-1, 0, 1))])
-
-        def row_of_cells(dy: Column) -> Column:
-            y = band + dy
-            cells = self._cells_in_band(y)
-            middle = self._cell_in_band(y, longitude)
-            around = F.array(*[F.pmod(middle + dx, cells) for dx in (-1, 0, 1)])
-            return F.transform(F.array_distinct(around), lambda x: F.struct(y.alias("y"), x.alias("x")))
-
-        return F.flatten(F.transform(steps, row_of_cells))
+        bands = f"array({self._band(latitude)})"
+        if not self._whole_sphere:
+            bands = f"transform(array(-1L, 0L, 1L), step -> {self._band(latitude)} + step)"
+        sized = f"transform({bands}, y -> struct(y, {self._cells_in_band('y')} as n))"
+        middle = self._cell_in_band("band.n", longitude)
+        around = f"array_distinct(transform(array(-1L, 0L, 1L), step -> pmod({middle} + step, band.n)))"
+        return F.expr(f"flatten(transform({sized}, band -> transform({around}, x -> struct(band.y as y, x as x))))")

@@ -12,6 +12,32 @@ from wayfare.runtime import materialize
 # Up to this k a group's candidates after the per-task pre-selection stay few.
 _SMALL_K = 1_000
 _SCORE_STEPS = 1_000_000_000
+_OFF_BOUNDARY = 0.137
+
+
+def comparable(score: Column) -> Column:
+    """A score as a whole number of billionths, so that rounding noise does not decide.
+
+    Equal scores summed in different orders differ in the last bits. The odd offset keeps
+    the boundary between two numbers away from short decimal fractions, where such scores
+    would fall on both sides.
+    """
+    return F.floor(score * _SCORE_STEPS + _OFF_BOUNDARY)
+
+
+def _cuts(histogram: DataFrame, by: Sequence[str], value: str, n: int, total: str | None) -> DataFrame:
+    """One row per group: ``_lowest``, the least value whose rank is at most ``n``, and the total kept.
+
+    ``histogram`` says how many rows (``_ties``) of a group hold each value.
+    """
+    better = Window.partitionBy(*by).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    kept = histogram.withColumn("_ahead", F.coalesce(F.sum("_ties").over(better), F.lit(0))).where(
+        F.col("_ahead") < n
+    )
+    aggregates = [F.min(value).alias("_lowest")]
+    if total is not None:
+        aggregates.append(F.sum(F.col(value) * F.col("_ties")).alias(total))
+    return kept.groupBy(*by).agg(*aggregates)
 
 
 def top_n_with_ties(df: DataFrame, by: Sequence[str], value: str, n: int, total: str | None = None) -> DataFrame:
@@ -26,30 +52,50 @@ def top_n_with_ties(df: DataFrame, by: Sequence[str], value: str, n: int, total:
     """
     if n <= 0:
         raise ValueError(f"n must be positive: {n}")
-    better = Window.partitionBy(*by).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    kept_values = (
-        df.groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("_ties"))
-        .withColumn("_ahead", F.coalesce(F.sum("_ties").over(better), F.lit(0)))
-        .where(F.col("_ahead") < n)
-    )
-    aggregates = [F.min(value).alias("_lowest")]
-    if total is not None:
-        aggregates.append(F.sum(F.col(value) * F.col("_ties")).alias(total))
-    cut = kept_values.groupBy(*by).agg(*aggregates)
+    histogram = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_ties"))
+    cut = _cuts(histogram, by, value, n, total)
     return df.join(cut, list(by)).where(F.col(value) >= F.col("_lowest")).drop("_lowest")
 
 
+def top_n_in_sets(
+    df: DataFrame,
+    sets: DataFrame,
+    members: Sequence[str],
+    by: Sequence[str],
+    value: str,
+    n: int,
+    total: str | None = None,
+) -> DataFrame:
+    """``top_n_with_ties`` inside each region set, without copying the rows to the sets.
+
+    ``sets`` lists the ``members`` (columns of ``df``) of each ``region_set``. Only the
+    histograms are copied and added up per set; a row then joins the cuts of the sets that
+    it belongs to, and leaves the join for those alone where it is kept.
+    """
+    if n <= 0:
+        raise ValueError(f"n must be positive: {n}")
+    histogram = df.groupBy(*by, *members, value).agg(F.count(F.lit(1)).alias("_ties"))
+    per_set = (
+        histogram.join(sets, list(members)).groupBy("region_set", *by, value).agg(F.sum("_ties").alias("_ties"))
+    )
+    cut = _cuts(per_set, ["region_set", *by], value, n, total)
+    return (
+        df.join(cut.join(sets, "region_set"), [*by, *members])
+        .where(F.col(value) >= F.col("_lowest"))
+        .drop("_lowest")
+    )
+
+
 def top_k(df: DataFrame, by: Sequence[str], score: str, tie: str, k: int) -> DataFrame:
     """Keep exactly ``k`` rows per group: highest ``score`` first, then lowest ``tie``.
 
-    Scores are compared at nine decimals, so that rounding noise does not decide.
+    Scores are compared in billionths, see ``comparable``.
     """
     if k < 0:
         raise ValueError(f"k must not be negative: {k}")
     if k <= _SMALL_K:
         # Each task keeps at most k rows of a group before the shuffle (WindowGroupLimit).
-        order = Window.partitionBy(*by).orderBy(F.round(score, 9).desc(), F.col(tie).asc())
+        order = Window.partitionBy(*by).orderBy(comparable(F.col(score)).desc(), F.col(tie).asc())
         return df.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= k).drop("_row")
     return _top_k_by_digits(df, by, score, tie, k)
 
@@ -71,7 +117,7 @@ def _top_k_by_digits(df: DataFrame, by: Sequence[str], score: str, tie: str, k:
     per group. Nothing is ever sorted by group. Scores must lie in [0, 1] and ties be
     non-negative.
     """
-    steps_below_one = F.lit(_SCORE_STEPS) - F.round(F.col(score) * _SCORE_STEPS).cast("long")
+    steps_below_one = F.lit(_SCORE_STEPS) - comparable(F.col(score))
     keyed = df.withColumn("_score_key", F.greatest(steps_below_one, F.lit(0).cast("long")))
     keyed = materialize(keyed)
     digits = _digits(F.col("_score_key"), (15, 15)) + _digits(F.col(tie), (15, 16, 16, 16))

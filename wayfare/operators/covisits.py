@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.times import DAY_MILLIS, epoch_millis
+from wayfare.runtime import materialize
 
 _PLACE = ("place_id", "region_id")
 # Distinct places of one person (and time bucket) that one task pairs with as many others.
@@ -89,7 +90,7 @@ def covisits_within(place_visits: DataFrame, interval_days: int) -> DataFrame:
     """
     width = interval_days * DAY_MILLIS + 1
     millis = epoch_millis(F.col("timestamp"))
-    timed = (
+    timed = materialize(
         place_visits.select("person_id", *_PLACE, millis.alias("_millis"))
         .withColumn("_bucket", F.floor(F.col("_millis") / width))
         .withColumn("_offset", F.col("_millis") - F.col("_bucket") * width)

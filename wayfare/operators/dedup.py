@@ -33,10 +33,10 @@ def _near_spots(spots: DataFrame, confirmed_spots: DataFrame, max_distance_m: fl
     The confirmed spot's columns get the prefix ``that_``; ``distance`` is added.
     """
     grid = Grid(max_distance_m)
-    here = spots.withColumn("_cell", grid.cell(F.col("latitude"), F.col("longitude")))
+    here = spots.withColumn("_cell", grid.cell("latitude", "longitude"))
     there = confirmed_spots.select(
         "region_id", *[F.col(c).alias(f"that_{c}") for c in confirmed_spots.columns if c != "region_id"]
-    ).withColumn("_cell", F.explode(grid.cells_in_reach(F.col("that_latitude"), F.col("that_longitude"))))
+    ).withColumn("_cell", F.explode(grid.cells_in_reach("that_latitude", "that_longitude")))
     apart = distance_m(F.col("latitude"), F.col("longitude"), F.col("that_latitude"), F.col("that_longitude"))
     return (
         salted_join(here, there, ["region_id", "_cell"], ["latitude", "longitude", "_name"], rows_per_part=10_000)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wayfare.functions.ranking import top_n_with_ties
 from wayfare.operators.covisits import covisits_any_time, covisits_within
 from wayfare.operators.ratings import visit_counts
+from wayfare.runtime import materialize
 
 # Fixed values
 TOP_PLACES_PER_PERSON = 100
@@ -23,11 +24,7 @@ TOP_SIMILAR_PLACES = 50
 SIMILARITY_DAYS = 7
 
 
-def share_edges(
-    counts: DataFrame, source: str, target: str, count: str, top_n: int, keys: Sequence[str] = ()
-) -> DataFrame:
-    """Edges from counted ``(source, target)`` pairs."""
-    kept = top_n_with_ties(counts, [*keys, source], count, top_n, total="_total")
+def shares(kept: DataFrame, source: str, target: str, count: str, keys: Sequence[str] = ()) -> DataFrame:
     return kept.select(
         *keys,
         F.col(source).alias("source_id"),
@@ -36,6 +33,14 @@ def share_edges(
     )
 
 
+def share_edges(
+    counts: DataFrame, source: str, target: str, count: str, top_n: int, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Edges from counted ``(source, target)`` pairs."""
+    kept = top_n_with_ties(counts, [*keys, source], count, top_n, total="_total")
+    return shares(kept, source, target, count, keys)
+
+
 def _visit_share_edges(place_visits: DataFrame, source: str, target: str, top_n: int) -> DataFrame:
     counts = place_visits.groupBy(source, target).agg(F.count(F.lit(1)).alias("visits"))
     return share_edges(counts, source, target, "visits", top_n)
@@ -56,7 +61,7 @@ def category_selected_place_edges(place_visits: DataFrame, top_n: int = TOP_PLAC
 def covisits(place_visits: DataFrame, interval_days: int, last_days: int | None = None) -> DataFrame:
     """Co-visit counts; pass ``last_days`` when the facts span no more than that."""
     if last_days is not None and last_days <= interval_days:
-        return covisits_any_time(visit_counts(place_visits))
+        return covisits_any_time(materialize(visit_counts(place_visits)))
     return covisits_within(place_visits, interval_days)
 
 
@@ -67,7 +72,7 @@ def place_similar_place_edges(
     last_days: int | None = None,
 ) -> DataFrame:
     """Edges between places that the same persons visit within ``interval_days``."""
-    counts = (
+    counts = materialize(
         covisits(place_visits, interval_days, last_days)
         .groupBy("place_id", "that_place_id")
         .agg(F.sum("visit_pairs").alias("visit_pairs"))

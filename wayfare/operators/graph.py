@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.ranking import top_n_with_ties
+from wayfare.functions.ranking import top_n_in_sets
 from wayfare.operators import edges as E
 from wayfare.operators.covisits import covisits_any_time, covisits_within
 from wayfare.operators.ratings import visit_counts
-from wayfare.operators.region_sets import expand_to_region_sets
-from wayfare.sources.tables import region_set_key
+from wayfare.operators.region_sets import expand_to_region_sets, region_pairs_of_sets
+from wayfare.runtime import materialize
 
 # Fixed values
 BETA_PLACE_PLACE = 1.0
@@ -60,69 +60,50 @@ def region_edges(
 ) -> dict[str, DataFrame]:
     """The four edge sets of all region sets at once, keyed by ``region_set``.
 
-    Nothing is counted per set. Visits are counted once per person and place and
-    co-visits once per pair of places; a place lies in one region, so the counts hold in
-    every set. A target among the top n of a set is among the top n of its own region, so
-    only each region's survivors are copied to the sets. Co-visits of places in two
-    regions belong to that pair's set alone.
+    Nothing is counted per set. Visits are counted once per person and place, co-visits
+    once per pair of places; a place lies in one region, so those counts hold in every
+    set. Both are used several times and written to the checkpoint folder for that.
     """
-    counts = visit_counts(place_visits)
+    counts = materialize(visit_counts(place_visits))
+    if last_days is not None and last_days <= E.SIMILARITY_DAYS:
+        pairs = covisits_any_time(counts)
+    else:
+        pairs = covisits_within(place_visits, E.SIMILARITY_DAYS)
+    pairs = materialize(pairs)
 
-    def own_region_top(source: str, target: str, top_n: int) -> DataFrame:
-        summed = counts.groupBy(source, "region_id", target).agg(F.sum("visits").alias("visits"))
-        return top_n_with_ties(summed, [source, "region_id"], "visits", top_n)
+    def summed(source: str, target: str) -> DataFrame:
+        return counts.groupBy(source, "region_id", target).agg(F.sum("visits").alias("visits"))
 
-    def shares(per_set: DataFrame, source: str, target: str, count: str, top_n: int) -> DataFrame:
-        return E.share_edges(per_set, source, target, count, top_n, keys=["region_set"])
+    def in_sets(counted: DataFrame, source: str, target: str, count: str, top_n: int, sets=region_sets, extra=()):
+        kept = top_n_in_sets(counted, sets, ["region_id", *extra], [source], count, top_n, total="_total")
+        return E.shares(kept, source, target, count, keys=["region_set"])
 
-    person_place = expand_to_region_sets(
-        top_n_with_ties(
-            counts.select("person_id", "region_id", "place_id", "visits"),
-            ["person_id", "region_id"],
-            "visits",
-            E.TOP_PLACES_PER_PERSON,
-        ),
-        region_sets,
-    )
-    category_place = expand_to_region_sets(
-        own_region_top("category_id", "place_id", E.TOP_PLACES_PER_CATEGORY), region_sets
-    )
-    # A category's visits add up over the regions of a set, so nothing can be cut before.
+    # A category's visits add up over the regions of a set before they are ranked.
     person_category = (
-        expand_to_region_sets(
-            counts.groupBy("person_id", "region_id", "category_id").agg(F.sum("visits").alias("visits")), region_sets
-        )
+        expand_to_region_sets(summed("person_id", "category_id"), region_sets)
         .groupBy("region_set", "person_id", "category_id")
         .agg(F.sum("visits").alias("visits"))
     )
-    if last_days is not None and last_days <= E.SIMILARITY_DAYS:
-        pairs = covisits_any_time(counts)
-    else:
-        pairs = covisits_within(place_visits, E.SIMILARITY_DAYS)
-    place_place = _covisits_per_set(
-        top_n_with_ties(pairs, ["place_id", "that_region_id"], "visit_pairs", E.TOP_SIMILAR_PLACES), region_sets
-    )
     return {
-        "place_place": shares(place_place, "place_id", "that_place_id", "visit_pairs", E.TOP_SIMILAR_PLACES),
-        "category_place": shares(category_place, "category_id", "place_id", "visits", E.TOP_PLACES_PER_CATEGORY),
-        "person_place": shares(person_place, "person_id", "place_id", "visits", E.TOP_PLACES_PER_PERSON),
-        "person_category": shares(
-            person_category, "person_id", "category_id", "visits", E.TOP_CATEGORIES_PER_PERSON
+        "place_place": in_sets(
+            pairs,
+            "place_id",
+            "that_place_id",
+            "visit_pairs",
+            E.TOP_SIMILAR_PLACES,
+            region_pairs_of_sets(region_sets),
+            ["that_region_id"],
+        ),
+        "category_place": in_sets(
+            summed("category_id", "place_id"), "category_id", "place_id", "visits", E.TOP_PLACES_PER_CATEGORY
+        ),
+        "person_place": in_sets(counts, "person_id", "place_id", "visits", E.TOP_PLACES_PER_PERSON),
+        "person_category": E.share_edges(
+            person_category, "person_id", "category_id", "visits", E.TOP_CATEGORIES_PER_PERSON, keys=["region_set"]
         ),
     }
 
 
-def _covisits_per_set(pairs: DataFrame, region_sets: DataFrame) -> DataFrame:
-    """Pairs inside one region go to all its sets, pairs across two regions to one set."""
-    inside = expand_to_region_sets(pairs.where(F.col("region_id") == F.col("that_region_id")), region_sets)
-    across = pairs.where(F.col("region_id") != F.col("that_region_id")).withColumn(
-        "region_set", region_set_key(F.array("region_id", "that_region_id"))
-    )
-    across = across.join(region_sets.select("region_set").distinct(), "region_set", "left_semi")
-    columns = ["region_set", "place_id", "that_place_id", "visit_pairs"]
-    return inside.select(*columns).unionByName(across.select(*columns))
-
-
 def stochastic_graphs(
     place_visits: DataFrame,
     region_sets: DataFrame,

@@ -62,14 +62,14 @@ def match_places(visits: DataFrame, places: DataFrame, radius_m: float = MATCH_R
     when it finds them small, and otherwise adaptive execution splits hot cells.
     """
     grid = Grid(radius_m)
-    here = visits.withColumn("_cell", grid.cell(F.col("latitude"), F.col("longitude")))
+    here = visits.withColumn("_cell", grid.cell("latitude", "longitude"))
     there = places.select(
         "region_id",
         F.col("id").alias("place_id"),
         "category_id",
         F.col("latitude").alias("_place_latitude"),
         F.col("longitude").alias("_place_longitude"),
-        F.explode(grid.cells_in_reach(F.col("latitude"), F.col("longitude"))).alias("_cell"),
+        F.explode(grid.cells_in_reach("latitude", "longitude")).alias("_cell"),
     )
     apart = distance_m(F.col("latitude"), F.col("longitude"), F.col("_place_latitude"), F.col("_place_longitude"))
     return here.join(there, ["region_id", "_cell"]).where(apart <= radius_m)

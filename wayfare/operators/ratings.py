@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.ranking import top_n_with_ties
+from wayfare.functions.ranking import top_n_in_sets, top_n_with_ties
 from wayfare.operators.region_sets import expand_to_region_sets
 
 # Fixed values
@@ -44,28 +44,21 @@ def visit_counts(place_visits: DataFrame) -> DataFrame:
     )
 
 
-def region_place_ratings(counts: DataFrame, region_sets: DataFrame, top_n: int, rating: str = "rating") -> DataFrame:
+def region_place_ratings(counts: DataFrame, sets: DataFrame, top_n: int, rating: str = "rating") -> DataFrame:
     """Place ratings of every region set, from the output of ``visit_counts``.
 
-    A place among the top n of a set is among the top n of its own region, so the cut per
-    region comes first and only its survivors are copied to the sets.
+    A place lies in one region, so its count is the same in every set.
     """
-    own_region = top_n_with_ties(
-        counts.select("person_id", "region_id", "place_id", F.col("visits").alias(rating)),
-        ["person_id", "region_id"],
-        rating,
-        top_n,
-    )
-    in_sets = expand_to_region_sets(own_region, region_sets)
-    kept = top_n_with_ties(in_sets, ["region_set", "person_id"], rating, top_n)
+    rated = counts.select("person_id", "region_id", "place_id", F.col("visits").alias(rating))
+    kept = top_n_in_sets(rated, sets, ["region_id"], ["person_id"], rating, top_n)
     return kept.select("region_set", "person_id", "place_id", rating)
 
 
-def region_category_ratings(counts: DataFrame, region_sets: DataFrame, top_n: int, rating: str = "rating") -> DataFrame:
+def region_category_ratings(counts: DataFrame, sets: DataFrame, top_n: int, rating: str = "rating") -> DataFrame:
     """Category ratings of every region set; a category's visits add up over the regions."""
     own_region = counts.groupBy("person_id", "region_id", "category_id").agg(F.sum("visits").alias(rating))
     in_sets = (
-        expand_to_region_sets(own_region, region_sets)
+        expand_to_region_sets(own_region, sets)
         .groupBy("region_set", "person_id", "category_id")
         .agg(F.sum(rating).alias(rating))
     )

@@ -43,3 +43,9 @@ def expand_to_region_sets(df: DataFrame, region_sets: DataFrame) -> DataFrame:
     Meant for rows that are aggregated already: each row is copied once per region.
     """
     return df.join(region_sets, "region_id")
+
+
+def region_pairs_of_sets(region_sets: DataFrame) -> DataFrame:
+    """``(region_set, region_id, that_region_id)``: ordered pairs of regions inside a set."""
+    that = region_sets.select("region_set", F.col("region_id").alias("that_region_id"))
+    return region_sets.join(that, "region_set")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.operators import dedup, edges, graph, neighbours, place_visits, profiles, ratings, region_sets, requests, walk
-from wayfare.runtime import use_utc
+from wayfare.runtime import materialize, use_utc
 from wayfare.sources.driver_tables import DriverTables
 
 # Fixed values of the reports.
@@ -27,6 +27,7 @@ EPSILON = 0.05
 FINE_EPSILON = 0.01
 MAX_ITERATIONS = 6
 FIXED_STEPS = 3
+OFF_BOUNDARY = 1.37e-10
 
 Query = Callable[[DriverTables], DataFrame]
 _queries: dict[str, Query] = {}
@@ -41,6 +42,11 @@ def _rounded(column: str, digits: int = 6) -> Column:
     return F.round(F.col(column), digits).alias(column)
 
 
+def _sum_rounded(column: str, digits: int = 6) -> Column:
+    """Rounded sum of inexact terms; the offset keeps short decimals off the boundary."""
+    return F.round(F.col(column) + OFF_BOUNDARY, digits).alias(column)
+
+
 def _text(column: str) -> Column:
     return F.date_format(F.col(column), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(column)
 
@@ -63,10 +69,11 @@ def requested_graph(t: DriverTables) -> DataFrame:
 
 
 def region_ratings(t: DriverTables, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    counts = ratings.visit_counts(visits_of(t))
+    """Both rating tables, kept as the stored tables they are in production."""
+    counts = materialize(ratings.visit_counts(visits_of(t)))
     return (
-        ratings.region_place_ratings(counts, sets, MAX_RATED_PLACES),
-        ratings.region_category_ratings(counts, sets, MAX_RATED_CATEGORIES),
+        materialize(ratings.region_place_ratings(counts, sets, MAX_RATED_PLACES)),
+        materialize(ratings.region_category_ratings(counts, sets, MAX_RATED_CATEGORIES)),
     )
 
 
@@ -123,7 +130,7 @@ def visit_counts_by_region(t: DriverTables) -> DataFrame:
 @_report
 def visit_profile_by_region(t: DriverTables) -> DataFrame:
     profile = profiles.location_profile_by_region(t.location_visits())
-    spans = [_rounded(c) for c in profile.columns if c not in ("region_id", "visits")]
+    spans = [_sum_rounded(c) for c in profile.columns if c not in ("region_id", "visits")]
     return profile.select("region_id", "visits", *spans)
 
 
@@ -264,7 +271,7 @@ def stochastic_graph(t: DriverTables) -> DataFrame:
 
 @_report
 def graph_source_sums(t: DriverTables) -> DataFrame:
-    return graph.graph_source_sums(graph_of(t)).select("region_set", "source_id", _rounded("weight_sum"))
+    return graph.graph_source_sums(graph_of(t)).select("region_set", "source_id", _sum_rounded("weight_sum"))
 
 
 @_report
@@ -306,7 +313,7 @@ def requests_without_ratings(t: DriverTables) -> DataFrame:
 
 
 def _walked(found: DataFrame) -> DataFrame:
-    return found.select("region_set", "person_id", "id", _rounded("probability", 8))
+    return found.select("region_set", "person_id", "id", _sum_rounded("probability", 8))
 
 
 @_report
@@ -336,7 +343,7 @@ def walk_recommended_places(t: DriverTables) -> DataFrame:
     asked = resolved(t)
     found = walk.walk_recommend(requested_graph(t), asked, EPSILON, MAX_ITERATIONS)
     best = requests.recommended_places(found, t.places(), asked, "probability", MAX_RECOMMENDATIONS)
-    return best.select("person_id", "region_id", "id", "category_id", "name", _rounded("probability"))
+    return best.select("person_id", "region_id", "id", "category_id", "name", _sum_rounded("probability"))
 
 
 @_report
@@ -354,7 +361,7 @@ def _estimates(t: DriverTables, asked: DataFrame) -> DataFrame:
 
 @_report
 def knn_estimates(t: DriverTables) -> DataFrame:
-    return _estimates(t, resolved(t)).select("region_set", "person_id", "place_id", _rounded("estimated_rating"))
+    return _estimates(t, resolved(t)).select("region_set", "person_id", "place_id", _sum_rounded("estimated_rating"))
 
 
 @_report
@@ -363,7 +370,7 @@ def knn_recommended_places(t: DriverTables) -> DataFrame:
     best = requests.recommended_places(
         _estimates(t, asked), t.places(), asked, "estimated_rating", MAX_RECOMMENDATIONS, place="place_id"
     )
-    return best.select("person_id", "region_id", "id", "category_id", "name", _rounded("estimated_rating"))
+    return best.select("person_id", "region_id", "id", "category_id", "name", _sum_rounded("estimated_rating"))
 
 
 # --- duplicate places ---------------------------------------------------------------
