@@ -1,38 +1,51 @@
-"""Joins on keys that may be very hot."""
+"""Joins whose output is much larger than their input, on keys that may be very hot."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
-    rows_per_part: int = 50_000,
+    pairs_per_part: int = 2_000_000,
 ) -> DataFrame:
-    """Inner join in which a hot key of ``left`` is spread over many tasks.
-
-    A key with more than ``rows_per_part`` left rows is cut into parts by a hash of
-    ``spread_by``; the right rows of that key are copied to each part, all others stay
-    single. Adaptive skew handling splits by bytes alone; here few bytes can mean very
-    many pairs, so the split follows the counted rows. Exact: every pair meets once. The
-    table of hot keys has at most ``|left| / rows_per_part`` rows, and whether it is small
-    enough to broadcast is left to Spark's own size check.
+    """Inner join in which a key with very many pairs is spread over many tasks.
+
+    The pairs of a key are the product of its row counts on both sides, and a key with
+    more than ``pairs_per_part`` is cut into parts: the left rows by a hash of
+    ``spread_by``, while the right rows of that key are copied to each part. All other
+    rows stay single. Every pair still meets exactly once.
+
+    Adaptive execution goes by bytes. It would neither split a key of few bytes and many
+    pairs nor leave small partitions of such keys apart, so the number of partitions is
+    fixed here. The table of hot keys is left to Spark's own check before a broadcast.
     """
+    keys = list(on)
+    left_rows = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_left"))
+    right_rows = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_right"))
+    pairs = F.col("_left") * F.col("_right")
     hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows_per_part)
-        .select(*on, F.ceil(F.col("_rows") / rows_per_part).alias("_parts"))
+        left_rows.join(right_rows, keys)
+        .where(pairs > pairs_per_part)
+        .select(*keys, F.least(F.col("_left"), F.ceil(pairs / pairs_per_part)).alias("_parts"))
     )
     parts = F.coalesce(F.col("_parts"), F.lit(1).cast("long"))
-    spread = left.join(hot, list(on), "left").withColumn("_part", F.pmod(F.xxhash64(*spread_by), parts))
-    copied = right.join(hot, list(on), "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    spread = left.join(hot, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*spread_by), parts))
+    copied = right.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    n = shuffle_partitions(left.sparkSession)
+    return (
+        spread.drop("_parts")
+        .repartition(n, *keys, "_part")
+        .join(copied.drop("_parts").repartition(n, *keys, "_part"), [*keys, "_part"])
+        .drop("_part")
     )
-    return spread.drop("_parts").join(copied.drop("_parts"), [*on, "_part"]).drop("_part")

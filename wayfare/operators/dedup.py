@@ -39,7 +39,7 @@ def _near_spots(spots: DataFrame, confirmed_spots: DataFrame, max_distance_m: fl
     ).withColumn("_cell", F.explode(grid.cells_in_reach("that_latitude", "that_longitude")))
     apart = distance_m(F.col("latitude"), F.col("longitude"), F.col("that_latitude"), F.col("that_longitude"))
     return (
-        salted_join(here, there, ["region_id", "_cell"], ["latitude", "longitude", "_name"], rows_per_part=10_000)
+        salted_join(here, there, ["region_id", "_cell"], ["latitude", "longitude", "_name"])
         .withColumn("distance", apart)
         .where(F.col("distance") <= max_distance_m)
         .drop("_cell")

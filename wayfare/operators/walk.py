@@ -13,8 +13,6 @@ from wayfare.runtime import materialize
 
 # Fixed value: the probability of jumping back to the start vertex.
 RESTART = 0.15
-# Start vertices whose full distributions one task writes out.
-_SEEDS_PER_PART = 1_000
 
 
 def _spread(state: DataFrame, edges: DataFrame) -> DataFrame:
@@ -134,7 +132,7 @@ def walk(
     taken = materialize(reduce(DataFrame.unionByName, stopped))
     everyone = reduce(DataFrame.unionByName, shared_parts).drop("seed")
     # Every start vertex gets its own copy of the shared part at the step it stopped.
-    parts = salted_join(taken, everyone, ["region_set", "steps"], ["seed"], _SEEDS_PER_PART).select(*columns)
+    parts = salted_join(taken, everyone, ["region_set", "steps"], ["seed"]).select(*columns)
     for term in own_terms:
         parts = parts.unionByName(term)
     found = (

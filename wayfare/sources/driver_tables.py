@@ -33,8 +33,10 @@ class DriverTables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _events(self) -> DataFrame:
+        """Events with ``k``. Exploding the single value keeps filters on what follows from
+        ``k`` above the JSON parsing, which they would otherwise repeat."""
         slot = F.get_json_object("props", "$.k").cast("long")
-        return self._read("events").withColumn("k", slot)
+        return self._read("events").withColumn("k", F.explode(F.array(slot)))
 
     def location_visits(self) -> DataFrame:
         k, event = F.col("k"), F.col("event_id")
