@@ -202,7 +202,32 @@ def all_oracles() -> dict[str, str]:
     vectors = """select person_id, (select max({e}) + 1 from rated)::integer size,
         (row_number() over (partition by person_id order by {e}) - 1)::integer "position",
         {e}::integer "index", rating::double "value" from rated"""
+    one_set = f"region_set = '{R.STORED_REGION_SET}'"
     sql = {
+        "scan_persons": ("select id, home_region_id from persons",),
+        "scan_places": (
+            """select id, category_id, "name", "name" description, region_id, round(latitude, 6) latitude,
+            round(longitude, 6) longitude from places""",
+        ),
+        "scan_categories": ("select category_id, category from categories",),
+        "scan_location_visits": (
+            f"""select person_id, region_id, strftime("timestamp", '%Y%m') year_month,
+            {_text('"timestamp"')} "timestamp", round(latitude, 6) latitude, round(longitude, 6) longitude
+            from recent""",
+        ),
+        "scan_place_visits": (
+            f"""select person_id, {_text('"timestamp"')} "timestamp", place_id, region_id, category_id from pv""",
+        ),
+        "scan_region_set_graph": (
+            f"""select region_set, source_id, target_id, round(balanced_weight, 6) balanced_weight
+            from graph where {one_set}""",
+            {"graph": _graph("pv_sets")},
+        ),
+        "scan_region_set_ratings": (
+            f"""select region_set, person_id, place_id::integer "index", rating::double "value" from rated
+            where {one_set}""",
+            {"rated": _rated("pv_sets", "place_id", R.MAX_RATED_PLACES, keys="region_set, ")},
+        ),
         "recent_visits": (f"""select event_id, person_id, {_text('"timestamp"')} "timestamp" from recent""",),
         "place_visits_last_week": (
             f"""select person_id, {_text('"timestamp"')} "timestamp", place_id, region_id, category_id from pv""",

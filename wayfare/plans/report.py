@@ -5,13 +5,15 @@ Scores are rounded and timestamps are text, so that two engines can agree on eac
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.operators import dedup, edges, graph, neighbours, place_visits, profiles, ratings, region_sets, requests, walk
-from wayfare.runtime import materialize, use_utc
+from wayfare.runtime import checkpoint_dir, materialize, use_utc
+from wayfare.sources import schemas, tables
 from wayfare.sources.driver_tables import DriverTables
 
 # Fixed values of the reports.
@@ -28,6 +30,7 @@ FINE_EPSILON = 0.01
 MAX_ITERATIONS = 6
 FIXED_STEPS = 3
 OFF_BOUNDARY = 1.37e-10
+STORED_REGION_SET = "region0_region1"
 
 Query = Callable[[DriverTables], DataFrame]
 _queries: dict[str, Query] = {}
@@ -77,6 +80,81 @@ def region_ratings(t: DriverTables, sets: DataFrame) -> tuple[DataFrame, DataFra
     )
 
 
+# --- stored tables --------------------------------------------------------------------
+
+
+def _new_folder(t: DriverTables) -> str:
+    return f"{checkpoint_dir(t.spark)}/tables-{uuid.uuid4().hex}"
+
+
+@_report
+def scan_persons(t: DriverTables) -> DataFrame:
+    """Written by home region, then read back."""
+    path = _new_folder(t)
+    tables.write_persons(t.persons(), path)
+    return tables.load_persons(t.spark, path)
+
+
+@_report
+def scan_places(t: DriverTables) -> DataFrame:
+    """Written by region, then read back."""
+    path = _new_folder(t)
+    tables.write_places(t.places(), path)
+    read = tables.load_places(t.spark, path)
+    return read.select("id", "category_id", "name", "description", "region_id", _rounded("latitude"), _rounded("longitude"))
+
+
+@_report
+def scan_categories(t: DriverTables) -> DataFrame:
+    path = _new_folder(t)
+    tables.write_categories(t.categories(), path)
+    return tables.load_categories(t.spark, path)
+
+
+@_report
+def scan_location_visits(t: DriverTables) -> DataFrame:
+    """Written by region and month, then read back; recent visits skip whole months."""
+    path = _new_folder(t)
+    tables.write_location_visits(t.location_visits(), path)
+    recent = place_visits.recent_visits(tables.load_location_visits(t.spark, path), LAST_DAYS)
+    return recent.select(
+        "person_id", "region_id", "year_month", _text("timestamp"), _rounded("latitude"), _rounded("longitude")
+    )
+
+
+@_report
+def scan_place_visits(t: DriverTables) -> DataFrame:
+    path = _new_folder(t)
+    tables.write_place_visits(visits_of(t), path)
+    read = tables.load_place_visits(t.spark, path)
+    return read.select("person_id", _text("timestamp"), "place_id", "region_id", "category_id")
+
+
+@_report
+def scan_region_set_graph(t: DriverTables) -> DataFrame:
+    """All graphs written by region set, then one set's folder read back."""
+    path = _new_folder(t)
+    tables.write_region_sets(graph_of(t), path, tables.GRAPH_TABLE)
+    read = tables.load_region_sets(t.spark, path, tables.GRAPH_TABLE, schemas.GRAPH, STORED_REGION_SET)
+    return read.select("region_set", "source_id", "target_id", _rounded("balanced_weight"))
+
+
+@_report
+def scan_region_set_ratings(t: DriverTables) -> DataFrame:
+    """Ratings and their vectors written by region set; the vectors of one set read back."""
+    path = _new_folder(t)
+    places, _ = region_ratings(t, region_sets.all_region_sets(t.places()))
+    tables.write_region_sets(places, path, tables.PLACE_RATINGS_TABLE)
+    stored = tables.load_region_sets(t.spark, path, tables.PLACE_RATINGS_TABLE, schemas.ratings("place_id"))
+    vectors = ratings.rating_vectors(stored, "place_id", keys=["region_set"])
+    tables.write_region_sets(vectors, path, tables.PLACE_RATING_VECTORS_TABLE)
+    read = tables.load_region_sets(
+        t.spark, path, tables.PLACE_RATING_VECTORS_TABLE, region_set=STORED_REGION_SET
+    )
+    entries = read.select("region_set", "person_id", F.inline("rating_vector"))
+    return entries.select("region_set", "person_id", "index", "value")
+
+
 # --- visits -----------------------------------------------------------------------
 
 
