@@ -16,16 +16,20 @@ def recent_visits(visits: DataFrame, last_days: int) -> DataFrame:
     """Visits not older than ``last_days`` before the latest visit of the whole table.
 
     The cut is a scalar subquery: Spark runs it once and hands its value to the Parquet
-    scan as a pushed filter. When the table is partitioned by ``year_month``, whole
-    months are skipped as well.
+    scan as a pushed filter. When the table is partitioned by ``year_month``, the latest
+    visit is looked up in the last month alone, and months before the cut are skipped.
     """
     if last_days <= 0:
         raise ValueError(f"last_days must be positive: {last_days}")
-    since = visits.agg(days_before(F.max("timestamp"), last_days).alias("since"))
-    recent = visits.where(F.col("timestamp") >= since.scalar())
+    newest = visits
     if "year_month" in visits.columns:
-        first_month = since.select(year_month(F.col("since")).alias("first_month"))
-        recent = recent.where(F.col("year_month") >= first_month.scalar())
+        newest = visits.where(F.col("year_month") == visits.agg(F.max("year_month")).scalar())
+    since = newest.agg(days_before(F.max("timestamp"), last_days).alias("since")).scalar()
+    recent = visits.where(F.col("timestamp") >= since)
+    if "year_month" in visits.columns:
+        # The same subquery again: two different ones would be merged into a struct, which
+        # the scan does not take as a filter.
+        recent = recent.where(F.col("year_month") >= year_month(since))
     return recent
 
 
