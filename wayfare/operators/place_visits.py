@@ -10,6 +10,8 @@ from wayfare.functions.times import days_before, year_month
 
 # Fixed value: a person within this distance of a place visits it.
 MATCH_RADIUS_M = 100.0
+# Nine cells each, at about 100 bytes, are some 90 MB.
+MAX_BROADCAST_PLACES = 100_000
 
 
 def recent_visits(visits: DataFrame, last_days: int) -> DataFrame:
@@ -61,9 +63,10 @@ def match_places(visits: DataFrame, places: DataFrame, radius_m: float = MATCH_R
     """Join visits with the places of their region within ``radius_m`` (limit included).
 
     A grid turns the distance join into an equi-join: each visit has one cell, each place
-    is listed in the up to nine cells around it, and the exact distance decides. The
-    visits side is neither copied nor aggregated beforehand; Spark broadcasts the places
-    when it finds them small, and otherwise adaptive execution splits hot cells.
+    is listed in the up to nine cells around it, and the exact distance decides. Visits
+    are neither copied nor aggregated beforehand. A counted, small number of places is
+    broadcast, so that the visits stay where they were read, whatever their skew. With
+    more places both sides are shuffled by cell, and adaptive execution splits hot cells.
     """
     grid = Grid(radius_m)
     here = visits.withColumn("_cell", grid.cell("latitude", "longitude"))
@@ -75,6 +78,8 @@ def match_places(visits: DataFrame, places: DataFrame, radius_m: float = MATCH_R
         F.col("longitude").alias("_place_longitude"),
         F.explode(grid.cells_in_reach("latitude", "longitude")).alias("_cell"),
     )
+    if places.limit(MAX_BROADCAST_PLACES + 1).count() <= MAX_BROADCAST_PLACES:
+        there = F.broadcast(there)
     apart = distance_m(F.col("latitude"), F.col("longitude"), F.col("_place_latitude"), F.col("_place_longitude"))
     return here.join(there, ["region_id", "_cell"]).where(apart <= radius_m)
 

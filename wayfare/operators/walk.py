@@ -2,65 +2,108 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.skew import salted_join
+from wayfare.functions.skew import salted_join, shuffle_partitions
 from wayfare.operators.graph import graph_vertices
 from wayfare.runtime import materialize
 
 # Fixed value: the probability of jumping back to the start vertex.
 RESTART = 0.15
+# At about 75 bytes each these stay below 150 MB on an executor.
+MAX_BROADCAST_EDGES = 2_000_000
+MOVES_PER_PARTITION = 50_000_000
 
+_SEED = ["region_set", "seed"]
 
-def _spread(state: DataFrame, edges: DataFrame) -> DataFrame:
-    """One step along the edges: multiply, then sum per target with map-side combine."""
+
+def _along_edges(probability: str):
+    """What the edges carry on of a column, per target."""
+    return F.sum(F.col(probability) * F.col("balanced_weight")) * (1 - RESTART)
+
+
+def _joined(state: DataFrame, edges: DataFrame) -> DataFrame:
+    return state.join(
+        edges.withColumnRenamed("region_set", "_set"),
+        (F.col("region_set") == F.col("_set")) & (F.col("id") == F.col("source_id")),
+    )
+
+
+def _spread_shared(shared: DataFrame, edges: DataFrame) -> DataFrame:
+    """One step of the shared vectors ``(region_set, id, probability)``."""
+    return (
+        _joined(shared, edges)
+        .groupBy("region_set", F.col("target_id").alias("id"))
+        .agg(_along_edges("probability").alias("probability"))
+    )
+
+
+def _spread_own(own: DataFrame, edges: DataFrame) -> DataFrame:
+    """One step of the own parts ``(region_set, seed, id, total, delta)``.
+
+    What moves is the last change; the total takes up what arrives. Rows of a seed stay
+    together, so with broadcast edges neither the join nor the sum shuffles anything.
+    """
+    arriving = _joined(own, edges).select(
+        *_SEED,
+        F.col("target_id").alias("id"),
+        F.lit(0.0).alias("total"),
+        (F.col("delta") * F.col("balanced_weight") * (1 - RESTART)).alias("delta"),
+    )
+    staying = own.select(*_SEED, "id", "total", F.lit(0.0).alias("delta"))
+    return _add_up(arriving.unionByName(staying))
+
+
+def _add_up(parts: DataFrame) -> DataFrame:
     return (
-        state.join(edges, (F.col("region_set") == F.col("edge_set")) & (F.col("id") == F.col("source_id")))
-        .groupBy("region_set", "seed", F.col("target_id").alias("id"))
-        .agg((F.sum(F.col("probability") * F.col("balanced_weight")) * (1 - RESTART)).alias("probability"))
+        parts.groupBy(*_SEED, "id")
+        .agg(F.sum("total").alias("total"), F.sum("delta").alias("delta"))
+        .withColumn("total", F.col("total") + F.col("delta"))
     )
 
 
-def _movement(now: DataFrame, before: DataFrame, active: DataFrame) -> DataFrame:
+def _movement(own: DataFrame, now: DataFrame, before: DataFrame, active: DataFrame) -> DataFrame:
     """Squared length of the last step per active seed.
 
-    A seed's vector is the shared part plus its own part. Vertices that its own part has
-    not reached move exactly as the shared part does, so their sum is that of all vertices
-    less that of the reached ones, and no seed's vector is ever written out densely.
+    Vertices that a seed's own part has not reached move exactly as the shared vector
+    does, so their sum is that of all vertices less that of the reached ones, and no
+    seed's vector is ever written out densely.
     """
-    shared = F.col("seed").isNull()
     shift = (
-        now.where(shared)
-        .unionByName(before.where(shared).withColumn("probability", -F.col("probability")))
+        now.unionByName(before.withColumn("probability", -F.col("probability")))
         .groupBy("region_set", "id")
         .agg(F.sum("probability").alias("_shift"))
     )
     everywhere = shift.groupBy("region_set").agg(F.sum(F.col("_shift") * F.col("_shift")).alias("_everywhere"))
     moved = F.coalesce(F.col("_shift"), F.lit(0.0))
     reached = (
-        now.where(~shared)
-        .join(shift, ["region_set", "id"], "left")
-        .groupBy("region_set", "seed")
+        own.join(shift, ["region_set", "id"], "left")
+        .groupBy(*_SEED)
         .agg(
-            F.sum((moved + F.col("probability")) * (moved + F.col("probability"))).alias("_reached"),
+            F.sum((moved + F.col("delta")) * (moved + F.col("delta"))).alias("_reached"),
             F.sum(moved * moved).alias("_shared_there"),
         )
     )
     elsewhere = F.col("_everywhere") - F.coalesce("_shared_there", F.lit(0.0))
     return (
-        active.join(reached, ["region_set", "seed"], "left")
+        active.join(reached, _SEED, "left")
         .join(everywhere, "region_set")
-        .select(
-            "region_set",
-            "seed",
-            (F.coalesce("_reached", F.lit(0.0)) + F.greatest(elsewhere, F.lit(0.0))).alias("squared_step"),
-        )
+        .select(*_SEED, (F.coalesce("_reached", F.lit(0.0)) + F.greatest(elsewhere, F.lit(0.0))).alias("squared_step"))
     )
 
 
+def _partitions_for(seeds: DataFrame, edges: DataFrame) -> int:
+    """Enough partitions for the moves of one step; bytes say little about them."""
+    n_seeds = seeds.groupBy("region_set").agg(F.count(F.lit(1)).alias("_seeds"))
+    n_edges = edges.groupBy("region_set").agg(F.count(F.lit(1)).alias("_edges"))
+    moves = n_seeds.join(n_edges, "region_set").agg(F.sum(F.col("_seeds") * F.col("_edges")).alias("n")).first().n or 0
+    return max(shuffle_partitions(seeds.sparkSession), math.ceil(moves / MOVES_PER_PARTITION))
+
+
 def walk(
     graph: DataFrame, requests: DataFrame, epsilon: float = 0.05, max_iterations: int = 20
 ) -> tuple[DataFrame, DataFrame]:
@@ -75,12 +118,15 @@ def walk(
     their graph lacks are left out, see ``requests_outside_graph``. Vertices without
     outgoing edges lose their probability.
 
-    The step is linear, so a vector is a shared part b, the same for all persons of a
-    region set, plus a person's own part s. b starts uniform and only follows the edges.
-    s grows by one term per step: the restart probability at the person, moved along the
-    edges once more each time. The state holds b (with a null seed) and those terms, which
-    touch reached vertices only. One join and one sum move all of it; the driver sees a
-    single flag per step.
+    The step is linear, so a vector is a shared vector, the same for all persons of a
+    region set, plus a person's own part. The shared one starts uniform and only follows
+    the edges. The own part grows each step by the restart probability at the person
+    moved along the edges once more, and touches reached vertices only.
+
+    Persons have no incoming edges, so beyond the first move the own parts need only the
+    edges between places and categories. While those are few by count, they are broadcast
+    and a step shuffles the own parts once, by seed, and not what they send along the
+    edges. Each step is checkpointed, and one flag per step reaches the driver.
     """
     if epsilon < 0:
         raise ValueError(f"epsilon must not be negative: {epsilon}")
@@ -88,53 +134,62 @@ def walk(
         raise ValueError(f"max_iterations must not be negative: {max_iterations}")
 
     asked = requests.select("region_set", F.col("person_id").alias("seed")).distinct()
-    edges = materialize(graph.join(asked.select("region_set").distinct(), "region_set", "left_semi"))
+    edges = materialize(
+        graph.join(asked.select("region_set").distinct(), "region_set", "left_semi").select(
+            "region_set", "source_id", "target_id", "balanced_weight"
+        )
+    )
     vertices = graph_vertices(edges)
-    sizes = vertices.groupBy("region_set").agg(F.count(F.lit(1)).alias("_size"))
     in_graph = vertices.select("region_set", F.col("id").alias("seed"))
-    active = materialize(asked.join(in_graph, ["region_set", "seed"], "left_semi"))
-    edges = edges.select(F.col("region_set").alias("edge_set"), "source_id", "target_id", "balanced_weight")
+    active = materialize(asked.join(in_graph, _SEED, "left_semi"))
+    targets = edges.select("region_set", F.col("target_id").alias("source_id")).distinct()
+    inner = materialize(edges.join(targets, ["region_set", "source_id"], "left_semi"))
+    partitions = _partitions_for(active, inner)
+    if inner.limit(MAX_BROADCAST_EDGES + 1).count() <= MAX_BROADCAST_EDGES:
+        inner = F.broadcast(inner)
 
-    columns = ["region_set", "seed", "id", "probability"]
-    nobody = F.lit(None).cast("long").alias("seed")
-    uniform = vertices.join(sizes, "region_set").select(
-        "region_set", nobody, "id", (F.lit(1.0) / F.col("_size")).alias("probability")
+    sizes = vertices.groupBy("region_set").agg(F.count(F.lit(1)).alias("_size"))
+    shared = vertices.join(sizes, "region_set").select(
+        "region_set", "id", (F.lit(1.0) / F.col("_size")).alias("probability")
     )
-    state = materialize(uniform)
-    shared = F.col("seed").isNull()
-
-    shared_parts = [state.withColumn("steps", F.lit(0))]
-    own_terms: list[DataFrame] = []
+    own = active.select(
+        *_SEED, F.col("seed").alias("id"), F.lit(0.0).alias("total"), F.lit(0.0).alias("delta")
+    ).limit(0)
+    shared_by_step = [shared.withColumn("steps", F.lit(0))]
+    finished: list[DataFrame] = []
     stopped: list[DataFrame] = []
     steps = 0
     while steps < max_iterations:
-        moved = _spread(state, edges)
-        if steps == 0:
-            start = active.select("region_set", "seed", F.col("seed").alias("id"), F.lit(RESTART).alias("probability"))
-            moved = moved.select(*columns).unionByName(start)
-        before, state = state, materialize(moved)
+        before, shared = shared, materialize(_spread_shared(shared, edges))
         steps += 1
-        shared_parts.append(state.where(shared).withColumn("steps", F.lit(steps)))
-        own_terms.append(state.where(~shared))
+        shared_by_step.append(shared.withColumn("steps", F.lit(steps)))
+        if steps == 1:
+            restart = F.lit(RESTART)
+            own = active.select(*_SEED, F.col("seed").alias("id"), restart.alias("total"), restart.alias("delta"))
+        elif steps == 2:
+            own = materialize(_spread_own(own, edges))
+        else:
+            own = materialize(_spread_own(own.repartition(partitions, *_SEED), inner))
         if epsilon > 0 and steps < max_iterations:
-            movement = materialize(_movement(state, before, active))
+            movement = materialize(_movement(own, shared, before, active))
             close = F.col("squared_step") <= epsilon * epsilon
-            stopped.append(movement.where(close).select("region_set", "seed", F.lit(steps).alias("steps")))
-            active = movement.where(~close).select("region_set", "seed")
+            done = movement.where(close).select(*_SEED)
+            stopped.append(done.withColumn("steps", F.lit(steps)))
+            finished.append(own.join(done, _SEED, "left_semi"))
+            active = movement.where(~close).select(*_SEED)
             if active.isEmpty():
                 break
-            going_on = active.withColumnsRenamed({"region_set": "_set", "seed": "_seed"})
-            same_seed = (F.col("region_set") == F.col("_set")) & (F.col("seed") == F.col("_seed"))
-            state = state.where(shared).unionByName(state.where(~shared).join(going_on, same_seed, "left_semi"))
+            own = own.join(active, _SEED, "left_semi")
     else:
-        stopped.append(active.select("region_set", "seed", F.lit(steps).alias("steps")))
+        stopped.append(active.withColumn("steps", F.lit(steps)))
+        finished.append(own)
 
     taken = materialize(reduce(DataFrame.unionByName, stopped))
-    everyone = reduce(DataFrame.unionByName, shared_parts).drop("seed")
-    # Every start vertex gets its own copy of the shared part at the step it stopped.
-    parts = salted_join(taken, everyone, ["region_set", "steps"], ["seed"]).select(*columns)
-    for term in own_terms:
-        parts = parts.unionByName(term)
+    # Every start vertex gets its own copy of the shared vector at the step it stopped.
+    parts = salted_join(taken, reduce(DataFrame.unionByName, shared_by_step), ["region_set", "steps"], ["seed"])
+    parts = parts.select(*_SEED, "id", "probability")
+    for own_part in finished:
+        parts = parts.unionByName(own_part.select(*_SEED, "id", F.col("total").alias("probability")))
     found = (
         parts.groupBy("region_set", F.col("seed").alias("person_id"), "id")
         .agg(F.sum("probability").alias("probability"))
