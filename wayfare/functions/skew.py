@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Fewer pairs than this are not worth a task of their own.
+_PAIRS_WORTH_A_TASK = 50_000
+
+
+def partitions_for_pairs(spark: SparkSession, pairs: int, pairs_per_partition: int) -> int:
+    """Number of partitions for a join that is known to form ``pairs`` pairs.
+
+    The session's number of shuffle partitions, or fewer when there is little to do, or
+    more when a task would get more than ``pairs_per_partition``.
+    """
+    usual = min(shuffle_partitions(spark), math.ceil(pairs / _PAIRS_WORTH_A_TASK))
+    return max(1, usual, math.ceil(pairs / pairs_per_partition))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.skew import salted_join, shuffle_partitions
+from wayfare.functions.skew import partitions_for_pairs, salted_join
 from wayfare.operators.graph import graph_vertices
 from wayfare.runtime import materialize
 
@@ -101,7 +100,7 @@ def _partitions_for(seeds: DataFrame, edges: DataFrame) -> int:
     n_seeds = seeds.groupBy("region_set").agg(F.count(F.lit(1)).alias("_seeds"))
     n_edges = edges.groupBy("region_set").agg(F.count(F.lit(1)).alias("_edges"))
     moves = n_seeds.join(n_edges, "region_set").agg(F.sum(F.col("_seeds") * F.col("_edges")).alias("n")).first().n or 0
-    return max(shuffle_partitions(seeds.sparkSession), math.ceil(moves / MOVES_PER_PARTITION))
+    return partitions_for_pairs(seeds.sparkSession, moves, MOVES_PER_PARTITION)
 
 
 def walk(
