@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders that this process has written, by the id of their Spark application.
+_written: dict[str, list[str]] = {}
+
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session time zone, so that "N days" never shifts at a clock change."""
@@ -17,7 +23,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back
-    to a temporary folder, because there every executor shares the driver's disk.
+    to a temporary folder, because there every executor shares the driver's disk; that
+    folder goes when Python ends.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -26,14 +33,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             configured = tempfile.mkdtemp(prefix="wayfare-checkpoint-")
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+    """Compute ``df`` once and cut its lineage: write it as Parquet to the shared folder, read it back.
 
     A lost executor costs nothing but the running tasks: the rows are in shared storage.
+    Compared with a checkpoint, columns are compressed and pruned and sizes are known.
+    ``release`` deletes what was written.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/wayfare-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that ``materialize`` wrote in this session; DataFrames over them are then invalid."""
+    jvm = spark.sparkContext._jvm
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(configuration).delete(path, True)
+    return len(paths)
