@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import mixing
+from wayfare.llm import mixing, pii
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document, base and disguised."""
+    return pii.find_personal_data(read(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
