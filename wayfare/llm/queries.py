@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import mixing, pii
+from wayfare.llm import mixing, pii, quality
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    documents = read(spark, sf_dir, "documents")
+    return quality.score(documents, quality.fit(documents, read(spark, sf_dir, "labels")))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     return mixing.mix(read(spark, sf_dir, "documents")).select(
