@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import mixing, pii, quality
+from wayfare.llm import mixing, pii, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    documents = read(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, read(spark, sf_dir, "labels")))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     documents = read(spark, sf_dir, "documents")
