@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import mixing, pii, quality, toxicity
+from wayfare.llm import jaccard_join, mixing, pii, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, read(spark, sf_dir, "labels")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles are 90 % similar."""
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     documents = read(spark, sf_dir, "documents")
