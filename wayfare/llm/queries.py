@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import html_text, jaccard_join, mixing, pii, quality, toxicity
+from wayfare.llm import html_text, jaccard_join, mixing, neighbour_search, pii, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every 50th."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return neighbour_search.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     documents = read(spark, sf_dir, "documents")
