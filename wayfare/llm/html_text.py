@@ -20,12 +20,16 @@ import html
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.runtime import materialize
+
 MANY_PAGES = 8
+MOST_BROADCAST = 1_000_000
 
 # Element names by their role in HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -299,8 +303,19 @@ def main_text(page: Page, templates: set[int]) -> str:
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
-def extract(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
-    """page_id, url, text and n_chars of every page."""
+def _pair_hash(hosts, hashes: np.ndarray) -> np.ndarray:
+    """One number for a host and a subtree."""
+    with np.errstate(over="ignore"):
+        h = (np.asarray(hosts, np.int64) * np.int64(0x5851F42D4C957F2D)) ^ hashes
+        return h * np.int64(0x2545F4914F6CDD1D) ^ (h >> 31)
+
+
+def extract(pages: DataFrame, many: int = MANY_PAGES, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """page_id, url, text and n_chars of every page.
+
+    Recurring subtrees are sent to all tasks while they number at most ``most_broadcast``
+    (16 bytes each, counted first); more of them join the pages by shuffle.
+    """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1))
     keyed = pages.select(F.xxhash64("page_id", "url", "html").alias("_key"), "page_id", "url", "html")
 
@@ -317,16 +332,42 @@ def extract(pages: DataFrame, many: int = MANY_PAGES) -> DataFrame:
     found = keyed.select("_key", F.xxhash64(host).alias("host"), "html").mapInArrow(subtrees, "_key long, host long, hash long")
     # Equal pages are one page here: repeated rows do not make a template.
     counted = found.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= many)
-    recurring = found.join(counted.select("host", "hash"), ["host", "hash"]).groupBy("_key").agg(F.collect_set("hash").alias("templates"))
     kind = pages.schema["page_id"].dataType.simpleString()
-
-    def texts(batches):
+    names = ["page_id", "url", "text", "n_chars"]
+    schema = f"page_id {kind}, url string, text string, n_chars long"
+
+    def rows(batch, templates) -> pa.RecordBatch:
+        made = [main_text(page, own) for page, own in templates]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(made, pa.string()), pa.array([len(t) for t in made], pa.int64())], names=names
+        )
+
+    counted = materialize(counted.select("host", "hash"))
+    if counted.count() <= most_broadcast:
+        # Few enough to be sent to each task: the pages need not move.
+        table = counted.toArrow()
+        keys = np.sort(_pair_hash(table["host"].to_numpy(), table["hash"].to_numpy()))
+        pairs = pages.sparkSession.sparkContext.broadcast(keys)
+        tagged = keyed.withColumn("host", F.xxhash64(host))
+
+        def known(batches):
+            for batch in batches:
+                parsed = [parse(source or "") for source in batch.column(2).to_pylist()]
+                out = []
+                for page, name in zip(parsed, batch.column(3).to_pylist()):
+                    own = np.array(list(subtree_hashes(page)), np.int64)
+                    hashed = _pair_hash(name, own)
+                    at = np.minimum(np.searchsorted(pairs.value, hashed), max(len(pairs.value) - 1, 0))
+                    out.append((page, set(own[pairs.value[at] == hashed].tolist()) if len(pairs.value) else set()))
+                yield rows(batch, out)
+
+        return tagged.select("page_id", "url", "html", "host").mapInArrow(known, schema)
+
+    recurring = found.join(counted, ["host", "hash"]).groupBy("_key").agg(F.collect_set("hash").alias("templates"))
+
+    def joined(batches):
         for batch in batches:
-            out = [main_text(parse(source or ""), set(templates or ())) for source, templates in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
-                names=["page_id", "url", "text", "n_chars"],
-            )
+            sources, templates = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            yield rows(batch, [(parse(h or ""), set(t or ())) for h, t in zip(sources, templates)])
 
-    joined = keyed.join(recurring, "_key", "left").select("page_id", "url", "html", "templates")
-    return joined.mapInArrow(texts, f"page_id {kind}, url string, text string, n_chars long")
+    return keyed.join(recurring, "_key", "left").select("page_id", "url", "html", "templates").mapInArrow(joined, schema)
