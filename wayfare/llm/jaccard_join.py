@@ -8,8 +8,8 @@
 3. Prefixes. Two sets similar enough share a shingle among the first few of each. A
    representative puts its prefix into the index, with its size, position and a digest.
 4. Candidates. Entries that meet at a shingle pass the length filter, the positional filter
-   (what can still follow) and the suffix filter (counts of set members per hash range
-   bound the difference from below). First every list is compared with one leader; then
+   (what can still follow) and the suffix filter (set members per hash range, counted
+   modulo 2, bound the difference from below). First every list is compared with one leader; then
    only entries whose documents are not yet connected are compared with each other.
 5. Verification. Each pair is verified once, by exact intersection of the two sets.
 
@@ -24,7 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm.components import connected_components
@@ -33,6 +33,8 @@ from wayfare.runtime import materialize
 
 _CELL_BITS = 20
 _CELLS_PER_ROW = 1024
+# Digests that a task keeps in order to leave out further copies of a set; the rest is left to Spark.
+_REMEMBERED = 200_000
 
 
 def _sets(texts: pa.Array, words: int):
@@ -47,32 +49,56 @@ def _signed(value: np.uint64) -> int:
     return int(np.int64(np.uint64(value).view(np.int64)))
 
 
+def _digests(own: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, whatever its order."""
+    with np.errstate(over="ignore"):
+        return _signed(mix(own).sum(dtype=np.uint64)), _signed(mix(own ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64))
+
+
+def _parities(own: np.ndarray) -> list[int]:
+    """For 256 ranges of hash values, whether the set has an odd number of members there, as four numbers.
+
+    Each member that only one of two sets holds flips one of these bits, so the bits in
+    which the sets differ are at most as many as such members.
+    """
+    counts = np.bincount(((mix(own)) >> np.uint64(56)).astype(np.int64), minlength=256)
+    return np.packbits((counts & 1).astype(np.uint8)).view("<i8").tolist()
+
+
+_PARITIES = ("p0", "p1", "p2", "p3")
+_SUMMARY = "doc_id long, n long, h1 long, h2 long, p0 long, p1 long, p2 long, p3 long, row int, counts binary"
+
+
 def _summarise(batches, words: int):
     """Per document: size and digest of its set; per task: counts of shingles per cell, in rows of cells.
 
     Both come from one pass over the texts, as two kinds of rows.
     """
     cells = np.zeros(1 << _CELL_BITS, np.int64)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("row", pa.int32()), ("counts", pa.binary())])
+    names = [c.split()[0] for c in _SUMMARY.split(", ")]
+    schema = pa.schema([*[(c, pa.int64()) for c in names[:-2]], ("row", pa.int32()), ("counts", pa.binary())])
     for batch in batches:
-        sizes, first, second = [], [], []
+        sizes, first, second, parities = [], [], [], []
         for own in _sets(batch.column(1), words):
             sizes.append(len(own))
-            with np.errstate(over="ignore"):
-                first.append(_signed(mix(own).sum(dtype=np.uint64)))
-                second.append(_signed(mix(own ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64)))
+            digest = _digests(own)
+            first.append(digest[0])
+            second.append(digest[1])
+            parities.append(_parities(own))
             if len(own):
                 np.add.at(cells, (own >> np.uint64(64 - _CELL_BITS)).astype(np.int64), 1)
         none = pa.nulls(len(sizes))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
+            [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64())]
+            + [pa.array([p[i] for p in parities], pa.int64()) for i in range(4)]
+            + [none.cast(pa.int32()), none.cast(pa.binary())],
             schema=schema,
         )
     rows = cells.astype("<u4").reshape(-1, _CELLS_PER_ROW)
     used = np.flatnonzero(rows.any(axis=1))
     none = pa.nulls(len(used)).cast(pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [none, none, none, none, pa.array(used, pa.int32()), pa.array([rows[i].tobytes() for i in used], pa.binary())], schema=schema
+        [*[none] * 8, pa.array(used, pa.int32()), pa.array([rows[i].tobytes() for i in used], pa.binary())], schema=schema
     )
 
 
@@ -116,54 +142,54 @@ def _needed(n: np.ndarray | int, num: int, den: int):
 
 
 def _index_entries(batches, words: int, num: int, den: int, order: np.ndarray):
+    """Prefix entries of each different set that the task sees: shingle, digests of the set, size, place."""
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        ids, shingles, sizes, places = [], [], [], []
-        for doc, own in zip(batch.column(0).to_pylist(), _sets(batch.column(1), words)):
+        shingles, first, second, sizes, places = [], [], [], [], []
+        for own in _sets(batch.column(0), words):
             n = len(own)
+            digest = _digests(own)
+            if not n or digest in seen:
+                continue
+            if len(seen) < _REMEMBERED:
+                seen.add(digest)
             length = n - _needed(n, num, den) + 1
-            ids += [doc] * length
             shingles.append(_ordered(own, order)[:length].view(np.int64))
+            first += [digest[0]] * length
+            second += [digest[1]] * length
             sizes += [n] * length
             places += range(1, length + 1)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate(shingles) if shingles else np.empty(0, np.int64)),
-                pa.array(ids, pa.int64()),
+                pa.array(first, pa.int64()),
+                pa.array(second, pa.int64()),
                 pa.array(sizes, pa.int32()),
                 pa.array(places, pa.int32()),
             ],
-            names=["shingle", "id", "n", "place"],
+            names=["shingle", "h1", "h2", "n", "place"],
         )
 
 
 def _pair_filter(num: int, den: int) -> Column:
-    """Length and positional filter for a (smaller or equal set) and b meeting at a shingle."""
+    """Length, positional and suffix filter for entries a and b that meet at a shingle."""
     na, nb = F.col("a.n").cast("long"), F.col("b.n").cast("long")
     # |A and B| >= num / (num + den) (|A| + |B|)
     least = F.ceil((na + nb) * num / (num + den))
-    follow = F.least(na - F.col("a.place"), nb - F.col("b.place")) + F.least("a.place", "b.place")
-    return (na * den >= nb * num) & (nb * den >= na * num) & (follow >= least)
+    follow = F.least(na - F.col("a.place"), nb - F.col("b.place")) + F.least("a.nth", "b.nth")
+    apart = sum(F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in _PARITIES)
+    return (na * den >= nb * num) & (nb * den >= na * num) & (follow >= least) & (apart <= na + nb - 2 * least)
 
 
 def _verify(batches, num: int, den: int):
-    """Suffix filter, then exact intersection of both sets."""
+    """Exact intersection of both sets."""
     for batch in batches:
-        na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
         kept, shared = [], []
-        a, b = batch.column("sa"), batch.column("sb")
-        last, last_set, last_ranges = None, None, None
+        first, second = batch.column("sa"), batch.column("sb")
         for i in range(batch.num_rows):
-            key = batch.column("a")[i].as_py()
-            if key != last:
-                last, last_set = key, np.frombuffer(a[i].as_buffer(), "<u8")
-                last_ranges = np.bincount((last_set >> np.uint64(58)).astype(np.int64), minlength=64)
-            other = np.frombuffer(b[i].as_buffer(), "<u8")
-            least = -(-(int(na[i]) + int(nb[i])) * num // (num + den))
-            ranges = np.bincount((other >> np.uint64(58)).astype(np.int64), minlength=64)
-            if np.minimum(last_ranges, ranges).sum() < least:
-                continue
-            overlap = len(np.intersect1d(last_set, other, assume_unique=True))
-            if overlap * den >= num * (len(last_set) + len(other) - overlap):
+            a, b = np.frombuffer(first[i].as_buffer(), "<u8"), np.frombuffer(second[i].as_buffer(), "<u8")
+            overlap = len(np.intersect1d(a, b, assume_unique=True))
+            if overlap * den >= num * (len(a) + len(b) - overlap):
                 kept.append(i)
                 shared.append(overlap)
         out = batch.take(pa.array(kept, pa.int64()))
@@ -177,12 +203,10 @@ class JaccardJoin:
         self.words, self.num, self.den = words, num, den
         self.documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         self.summary = materialize(
-            self.documents.mapInArrow(
-                partial(_summarise, words=words), "doc_id long, n long, h1 long, h2 long, row int, counts binary"
-            )
+            self.documents.mapInArrow(partial(_summarise, words=words), _SUMMARY)
         )
-        self.nodes = self.summary.where("row is null").select("doc_id", "n", "h1", "h2")
-        key = ["n", "h1", "h2"]
+        self.nodes = self.summary.where("row is null").select("doc_id", "n", "h1", "h2", *_PARITIES)
+        key = ["n", "h1", "h2", *_PARITIES]
         usable = self.nodes.where("n > 0 and doc_id is not null")
         # One row per class of equal sets; partial minima, so a class of any size is cheap.
         self.classes = materialize(usable.groupBy(*key).agg(F.min("doc_id").alias("id")))
@@ -191,30 +215,36 @@ class JaccardJoin:
         """Verified links between class representatives that connect all that is linked: a, b, overlap."""
         words, num, den = self.words, self.num, self.den
         order = self.summary.sparkSession.sparkContext.broadcast(shingle_order(self.summary))
-        chosen = self.classes.select(F.col("id").alias("doc_id"))
-        texts = self.documents.join(chosen, "doc_id")
 
         def entries(batches):
             yield from _index_entries(batches, words, num, den, order.value)
 
-        index = texts.mapInArrow(entries, "shingle long, id long, n int, place int")
-        index = materialize(index)
-        lists = index.groupBy("shingle").agg(
-            F.count(F.lit(1)).alias("entries"), F.min(F.struct("n", "id", "place")).alias("leader")
-        ).where("entries > 1")
-        shared = materialize(index.join(lists, "shingle"))
-        sets = self._sets_of(shared.select("id").distinct())
+        emitted = self.documents.where("doc_id is not null").select("text").mapInArrow(
+            entries, "shingle long, h1 long, h2 long, n int, place int"
+        )
+        # One shuffle by shingle serves the copies that tasks share, the list sizes and the lists.
+        index = emitted.repartition("shingle").dropDuplicates()
+        lists = Window.partitionBy("shingle")
+        shared = index.withColumn("_entries", F.count(F.lit(1)).over(lists)).where("_entries > 1").drop("_entries")
+        # A shingle of one list entry is in no other prefix: matches before a place are at most the shared ones there.
+        earlier = Window.partitionBy("n", "h1", "h2").orderBy("place")
+        shared = shared.withColumn("nth", F.row_number().over(earlier))
+        shared = materialize(shared.join(self.classes, ["n", "h1", "h2"]).select("shingle", "id", "n", "place", "nth", *_PARITIES))
+        leaders = shared.groupBy("shingle").agg(F.min(F.struct("n", "id", "place", "nth", *_PARITIES)).alias("leader"))
+        shared = shared.join(leaders, "shingle")
         led = shared.where(F.col("id") != F.col("leader.id")).select(
-            F.struct(F.col("leader.id").alias("id"), F.col("leader.n").alias("n"), F.col("leader.place").alias("place")).alias("a"),
-            F.struct("id", "n", "place").alias("b"),
+            F.col("leader").alias("a"),
+            F.struct("id", "n", "place", "nth", *_PARITIES).alias("b"),
         )
         asked = self._pairs(led.where(_pair_filter(num, den)))
+        sets = self._sets_of(self._ends(asked))
         first = self._verified(asked, sets)
         joined = connected_components(first)
         # Only lists that still hold documents of several components need all their pairs.
         tagged = shared.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = tagged.groupBy("shingle").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y")
-        open_entries = materialize(tagged.join(mixed.select("shingle"), "shingle").select("shingle", "id", "n", "place", "component", F.col("leader.id").alias("leader")))
+        open_entries = tagged.join(mixed.select("shingle"), "shingle").where(F.col("id") != F.col("leader.id"))
+        open_entries = materialize(open_entries.select("shingle", "id", "n", "place", "nth", "component", *_PARITIES))
         left, right = open_entries.alias("a"), open_entries.alias("b")
         ahead = F.struct(F.col("a.n"), F.col("a.id")) < F.struct(F.col("b.n"), F.col("b.id"))
         pairs = left.join(
@@ -222,11 +252,15 @@ class JaccardJoin:
             (F.col("a.shingle") == F.col("b.shingle"))
             & ahead
             & (F.col("a.component") != F.col("b.component"))
-            & (F.col("a.id") != F.col("a.leader"))
             & _pair_filter(num, den),
         )
         rest = self._pairs(pairs.select(F.struct("a.id", "a.n").alias("a"), F.struct("b.id", "b.n").alias("b")), asked)
-        return first.unionByName(self._verified(rest, sets))
+        more = self._sets_of(self._ends(rest).join(sets.select("id"), "id", "left_anti"))
+        return first.unionByName(self._verified(rest, sets.unionByName(more)))
+
+    @staticmethod
+    def _ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
 
     @staticmethod
     def _pairs(met: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
@@ -254,7 +288,7 @@ class JaccardJoin:
         def run(batches):
             yield from _verify(batches, num, den)
 
-        return materialize(sided.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, overlap long"))
+        return materialize(sided.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, overlap long"))
 
     def components(self) -> DataFrame:
         """One row per document: doc_id, n_shingles and component_id."""
