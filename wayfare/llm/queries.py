@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import html_text, jaccard_join, mixing, neighbour_search, pii, quality, toxicity
+from wayfare.llm import html_text, jaccard_join, line_dedup, mixing, neighbour_search, pii, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,6 +44,17 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that stand earlier."""
+    done = line_dedup.delete_repeated_lines(read(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id",
+        F.col("_lines_deleted").alias("lines_deleted"),
+        F.col("_words_deleted").alias("words_deleted"),
+        "text",
+    )
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in each document, base and disguised."""
     return pii.find_personal_data(read(spark, sf_dir, "documents"))
