@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import html_text, jaccard_join, line_dedup, mixing, neighbour_search, pii, quality, toxicity
+from wayfare.llm import decontaminate, html_text, jaccard_join, line_dedup, mixing, neighbour_search, pii, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold."""
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that stand earlier."""
     done = line_dedup.delete_repeated_lines(read(spark, sf_dir, "documents"))
