@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import decontaminate, html_text, jaccard_join, line_dedup, mixing, neighbour_search, pii, quality, toxicity
+from wayfare.llm import decontaminate, html_text, jaccard_join, language_model, line_dedup, mixing, neighbour_search, pii, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -60,6 +60,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document."""
+    documents = read(spark, sf_dir, "documents")
+    return language_model.score(documents, *language_model.fit(documents))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in each document, base and disguised."""
     return pii.find_personal_data(read(spark, sf_dir, "documents"))
