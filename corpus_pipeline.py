@@ -1,20 +1,53 @@
-"""The corpus pipeline: stages over documents, each a function of (spark, docs, sf_dir)."""
+"""The corpus pipeline: stages over documents, each a function of (spark, docs, sf_dir).
+
+All stages but the last return the columns of documents. A row with a null id or text
+passes the filters, as nothing is known against it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wayfare.llm import mixing
+from wayfare.llm import decontaminate, jaccard_join, line_dedup, mixing, toxicity
 from wayfare.runtime import materialize
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the toxicity classifier rejects."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_accepted(docs, model)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut the runs of lines that stand in an earlier document; documents cut to nothing go."""
+    return line_dedup.dedup_documents(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    return jaccard_join.keep_one_each(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mix the sources to their target weights."""
+    """Mix the sources to their target weights: documents with the words taken from them."""
     return mixing.mix_documents(docs)
 
 
-STAGES = [("mixing sources to target weights", mixed)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line dedup", without_repeated_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("mixing sources to target weights", mixed),
+]
 
+# A trained classifier, fingerprints and hashes have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -286,23 +286,30 @@ def fit(documents: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROW
     return fit_ftrl(vectors, got["target"].to_numpy(), BITS, alpha=1.0, l1=4.0, l2=0.01, passes=5)
 
 
+def _scores(texts: pa.Array, model: LinearModel, table: np.ndarray) -> np.ndarray:
+    """Sum of the weights of the different terms that each text has, as a probability."""
+    scores = np.zeros(len(texts))
+    for row, until, words in word_chunks(texts, **_WORDS):
+        owner = np.repeat(np.arange(until - row), np.diff(words.first))
+        keys = []
+        for indices in _feature_indices(words):
+            at = np.flatnonzero(table[indices])
+            keys.append(owner[at] << BITS | indices[at])
+        keys = np.unique(np.concatenate(keys))
+        weights = table[keys & ((1 << BITS) - 1)]
+        scores[row:until] = sigmoid(np.bincount(keys >> BITS, weights, until - row) + model.bias)
+    return scores
+
+
 def score(documents: DataFrame, model: LinearModel, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document: the sum of the weights of the terms it has."""
+    """doc_id, held_out, score and predicted of every document."""
 
     def run(batches):
         table = model.dense()
         for batch in batches:
-            scores = np.zeros(batch.num_rows)
-            for row, until, words in word_chunks(batch.column(1), **_WORDS):
-                owner = np.repeat(np.arange(until - row), np.diff(words.first))
-                keys = []
-                for indices in _feature_indices(words):
-                    at = np.flatnonzero(table[indices])
-                    keys.append(owner[at] << BITS | indices[at])
-                keys = np.unique(np.concatenate(keys))
-                weights = table[keys & ((1 << BITS) - 1)]
-                scores[row:until] = sigmoid(np.bincount(keys >> BITS, weights, until - row) + model.bias)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(_scores(batch.column(1), model, table))], names=["doc_id", "score"]
+            )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     scored = documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
@@ -312,3 +319,14 @@ def score(documents: DataFrame, model: LinearModel, threshold: float = THRESHOLD
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_accepted(documents: DataFrame, model: LinearModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold, with their columns; each is judged by its own text."""
+
+    def run(batches):
+        table = model.dense()
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column("text"), model, table) < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
