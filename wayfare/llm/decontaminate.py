@@ -262,4 +262,4 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, leas
 def clean_documents(documents: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     """The documents that hold no benchmark item; rows with a null id stay."""
     held = leaks(documents, benchmark, **limits).select(F.col("doc_id").alias("_held")).where("_held is not null").distinct()
-    return documents.join(held, F.col("doc_id") == F.col("_held"), "left_anti")
+    return documents.alias("d").join(held.alias("h"), F.col("d.doc_id") == F.col("h._held"), "left_anti")

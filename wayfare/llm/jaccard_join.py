@@ -329,4 +329,4 @@ def keep_one_each(documents: DataFrame, words: int = 5, num: int = 80, den: int
     """
     found = near_duplicates(documents, words, num, den)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return documents.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g._gone"), "left_anti")

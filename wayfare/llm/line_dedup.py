@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wayfare.runtime import materialize
 
@@ -183,23 +184,32 @@ def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int]:
 
 def _cut_rows(batches, names: list[str]):
     for batch in batches:
-        text, runs = batch.column("text").to_pylist(), batch.column("runs").to_pylist()
-        made = [cut(t, [(r["start"], r["stop"]) for r in own]) if own else (t, 0, 0) for t, own in zip(text, runs)]
-        arrays = {name: batch.column(name) for name in names}
-        arrays["text"] = pa.array([m[0] for m in made], pa.string())
-        arrays["_lines_deleted"] = pa.array([m[1] for m in made], pa.int64())
-        arrays["_words_deleted"] = pa.array([m[2] for m in made], pa.int64())
-        yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
+        fields = dict(zip(names, batch.column("row").flatten()))
+        runs = batch.column("runs").to_pylist()
+        made = [
+            cut(t, [(r["start"], r["stop"]) for r in own]) if own else (t, 0, 0)
+            for t, own in zip(fields["text"].to_pylist(), runs)
+        ]
+        fields["text"] = pa.array([m[0] for m in made], pa.string())
+        fields["_lines_deleted"] = pa.array([m[1] for m in made], pa.int64())
+        fields["_words_deleted"] = pa.array([m[2] for m in made], pa.int64())
+        yield pa.RecordBatch.from_arrays(list(fields.values()), names=list(fields))
+
+
+_COUNTS = ("_lines_deleted", "_words_deleted")
 
 
 def delete_repeated_lines(documents: DataFrame, **limits) -> DataFrame:
-    """All documents, each text without its repeated runs, with ``_lines_deleted`` and ``_words_deleted``."""
+    """All documents, each text without its repeated runs, with ``_lines_deleted`` and ``_words_deleted``.
+
+    Own columns of these two names are replaced; all others are passed on as they are.
+    """
     runs = repeated_runs(documents, **limits)
-    joined = documents.withColumn("_key", F.xxhash64("doc_id", "text")).join(runs, "_key", "left").drop("_key")
-    names = documents.columns
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema]
-    schema = ", ".join([*kinds, "_lines_deleted long", "_words_deleted long"])
-    return joined.mapInArrow(partial(_cut_rows, names=names), schema)
+    kept = [f for f in documents.schema if f.name not in _COUNTS]
+    row = F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("row")
+    joined = documents.select(row, _keyed(documents)[0]).join(runs, "_key", "left").select("row", "runs")
+    schema = StructType([*kept, *[StructField(c, LongType()) for c in _COUNTS]])
+    return joined.mapInArrow(partial(_cut_rows, names=[f.name for f in kept]), schema)
 
 
 def dedup_documents(documents: DataFrame, **limits) -> DataFrame:
@@ -209,4 +219,4 @@ def dedup_documents(documents: DataFrame, **limits) -> DataFrame:
     if "n_chars" in documents.columns:
         changed = F.when(F.col("_lines_deleted") > 0, F.length("text")).otherwise(F.col("n_chars"))
         kept = kept.withColumn("n_chars", changed.cast(documents.schema["n_chars"].dataType))
-    return kept.select(*documents.columns)
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])

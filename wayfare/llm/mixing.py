@@ -209,16 +209,20 @@ def mix(
     )
 
 
+_ADDED = ("size", "target", "taken")
+
+
 def mix_documents(documents: DataFrame) -> DataFrame:
     """The documents that the mix takes words from, whole, with ``size``, ``target`` and ``taken``.
 
-    Equal rows (same id and text) come once, with their words added up.
+    Equal rows (same id and text) come once, with their words added up. Own columns of the
+    three names are replaced.
     """
     taken = mix(documents).where(F.col("taken") > 0)
     taken = taken.groupBy("doc_id", "_text").agg(F.sum("size").alias("size"), F.min("target").alias("target"), F.sum("taken").alias("taken"))
-    rows = documents.withColumn("_text", F.xxhash64("text"))
-    joined = rows.alias("d").join(
-        taken.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d._text") == F.col("t._text"))
+    kept = [c for c in documents.columns if c not in _ADDED]
+    rows = documents.dropDuplicates(["doc_id", "text"]).select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")
     )
-    kept = [F.col(f"d.{c}") for c in documents.columns if c not in ("size", "target", "taken")]
-    return joined.select(*kept, "t.size", "t.target", "t.taken").dropDuplicates(["doc_id", "text"])
+    same = F.col("_id").eqNullSafe(F.col("t.doc_id")) & (F.col("_hash") == F.col("t._text"))
+    return rows.join(taken.alias("t"), same).select("row.*", *[f"t.{c}" for c in _ADDED])
