@@ -2,9 +2,9 @@
 
 1. Sets. A document's set holds the hashes of its distinct n-word shingles. Documents with
    equal sets form a class; only the class representative (smallest id) goes on.
-2. Order. All documents add up a table of shingle counts of fixed size (many shingles
-   share a cell). Shingles are ordered by the magnitude of their cell, rarest first, then
-   by hash. Any one order gives right results; a good one gives short lists.
+2. Order. All documents add up a table of shingle counts of bounded size, in which a few
+   shingles share a cell. Shingles are ordered by the magnitude of their cell, rarest
+   first, then by hash. Any one order gives right results; a good one gives short lists.
 3. Prefixes. Two sets similar enough share a shingle among the first few of each. A
    representative puts its prefix into the index, with its size, position and a digest.
 4. Candidates. Entries that meet at a shingle pass the length filter, the positional filter
@@ -31,8 +31,14 @@ from wayfare.llm.components import connected_components
 from wayfare.llm.words import mix, word_chunks
 from wayfare.runtime import materialize
 
-_CELL_BITS = 20
-_CELLS_PER_ROW = 1024
+# Cells of the table of shingle counts: one per 100 bytes of text (16 shingles or so), a
+# power of two. The upper bound is one byte each in every task: 64 MB. Beyond it, lists of
+# frequent shingles get longer, but results stay the same.
+_BYTES_PER_CELL = 100
+_LEAST_BITS, _MOST_BITS = 16, 26
+_CHUNK = 1 << 16
+# A cell counts to 65,535 before its task sends what it has.
+_DOCUMENTS_AT_ONCE = 65_000
 # Digests that a task keeps in order to leave out further copies of a set; the rest is left to Spark.
 _REMEMBERED = 200_000
 
@@ -66,17 +72,45 @@ def _parities(own: np.ndarray) -> list[int]:
 
 
 _PARITIES = ("p0", "p1", "p2", "p3")
-_SUMMARY = "doc_id long, n long, h1 long, h2 long, p0 long, p1 long, p2 long, p3 long, row int, counts binary"
+_SUMMARY = "doc_id long, n long, h1 long, h2 long, p0 long, p1 long, p2 long, p3 long, row int, gaps binary, counts binary"
 
 
-def _summarise(batches, words: int):
+def _cell_rows(cells: np.ndarray):
+    """The cells that are not 0, per chunk: distances between them and counts up to 255, a byte each.
+
+    A distance above 255 is cut by entries that count 0.
+    """
+    for row in range(len(cells) // _CHUNK):
+        own = cells[row * _CHUNK : (row + 1) * _CHUNK]
+        used = np.flatnonzero(own)
+        if not len(used):
+            continue
+        gaps = np.diff(used, prepend=0)
+        fill = (gaps - 1).clip(0) // 255
+        places = np.cumsum(fill + 1) - 1
+        out, counts = np.full(places[-1] + 1, 255, np.uint8), np.zeros(places[-1] + 1, np.uint8)
+        out[places] = gaps - 255 * fill
+        counts[places] = np.minimum(own[used], 255)
+        yield row, out.tobytes(), counts.tobytes()
+
+
+def _summarise(batches, words: int, bits: int):
     """Per document: size and digest of its set; per task: counts of shingles per cell, in rows of cells.
 
     Both come from one pass over the texts, as two kinds of rows.
     """
-    cells = np.zeros(1 << _CELL_BITS, np.int64)
+    cells, since = np.zeros(1 << bits, np.uint16), 0
     names = [c.split()[0] for c in _SUMMARY.split(", ")]
-    schema = pa.schema([*[(c, pa.int64()) for c in names[:-2]], ("row", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([*[(c, pa.int64()) for c in names[:-3]], ("row", pa.int32()), ("gaps", pa.binary()), ("counts", pa.binary())])
+
+    def counted() -> pa.RecordBatch:
+        rows = list(_cell_rows(cells))
+        none = pa.nulls(len(rows)).cast(pa.int64())
+        columns = list(zip(*rows)) if rows else [[], [], []]
+        return pa.RecordBatch.from_arrays(
+            [*[none] * 8, *[pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))]], schema=schema
+        )
+
     for batch in batches:
         sizes, first, second, parities = [], [], [], []
         for own in _sets(batch.column(1), words):
@@ -86,54 +120,48 @@ def _summarise(batches, words: int):
             second.append(digest[1])
             parities.append(_parities(own))
             if len(own):
-                np.add.at(cells, (own >> np.uint64(64 - _CELL_BITS)).astype(np.int64), 1)
+                np.add.at(cells, (own >> np.uint64(64 - bits)).astype(np.int64), np.uint16(1))
+                since += 1
+                if since == _DOCUMENTS_AT_ONCE:
+                    yield counted()
+                    cells[:], since = 0, 0
         none = pa.nulls(len(sizes))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64())]
             + [pa.array([p[i] for p in parities], pa.int64()) for i in range(4)]
-            + [none.cast(pa.int32()), none.cast(pa.binary())],
+            + [none.cast(pa.int32()), none.cast(pa.binary()), none.cast(pa.binary())],
             schema=schema,
         )
-    rows = cells.astype("<u4").reshape(-1, _CELLS_PER_ROW)
-    used = np.flatnonzero(rows.any(axis=1))
-    none = pa.nulls(len(used)).cast(pa.int64())
-    yield pa.RecordBatch.from_arrays(
-        [*[none] * 8, pa.array(used, pa.int32()), pa.array([rows[i].tobytes() for i in used], pa.binary())], schema=schema
-    )
+    yield counted()
 
 
-def _add_cells(batches):
-    """Sum the count rows of one task by row number."""
+def _levels(batches):
+    """Add up the chunks of one task: quarter powers of two of their counts, a byte per cell."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for row, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            own = np.frombuffer(counts.as_buffer(), "<u8" if len(counts.as_buffer()) == 8 * _CELLS_PER_ROW else "<u4")
-            if row in total:
-                total[row] += own
-            else:
-                total[row] = own.astype("<u8")
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array([c.tobytes() for c in total.values()], pa.binary())], names=["row", "counts"]
-    )
-
-
-def shingle_order(summary: DataFrame) -> np.ndarray:
-    """Magnitude (quarter powers of two) of each cell's count, from all documents: one byte per cell."""
-    counts = summary.where("row is not null").select("row", "counts")
-    kind = "row int, counts binary"
-    # A fixed number of tasks per level, each with a fixed amount of memory.
-    once = counts.mapInArrow(_add_cells, kind)
-    table = once.repartition(8, "row").mapInArrow(_add_cells, kind).toArrow()
-    cells = np.zeros((1 << _CELL_BITS) // _CELLS_PER_ROW * _CELLS_PER_ROW, np.float64).reshape(-1, _CELLS_PER_ROW)
-    for row, own in zip(table["row"].to_pylist(), table["counts"]):
-        cells[row] += np.frombuffer(own.as_buffer(), "<u8")
-    return np.round(4 * np.log2(1 + cells.ravel())).astype(np.uint8)
+        for row, gaps, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            places = np.cumsum(np.frombuffer(gaps.as_buffer(), np.uint8), dtype=np.int64)
+            own = total.setdefault(row, np.zeros(_CHUNK, np.uint32))
+            # Entries that only cut a distance add 0 where they stand.
+            np.add.at(own, places, np.frombuffer(counts.as_buffer(), np.uint8).astype(np.uint32))
+    levels = [np.round(4 * np.log2(1 + c.astype(np.float64))).astype(np.uint8).tobytes() for c in total.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], names=["row", "levels"])
+
+
+def shingle_order(summary: DataFrame, bits: int) -> np.ndarray:
+    """Magnitude of each cell's count, from all documents: one byte per cell."""
+    counts = summary.where("row is not null").select("row", "gaps", "counts")
+    table = counts.repartition("row").mapInArrow(_levels, "row int, levels binary").toArrow()
+    order = np.zeros(1 << bits, np.uint8)
+    for row, own in zip(table["row"].to_pylist(), table["levels"]):
+        order[row * _CHUNK : (row + 1) * _CHUNK] = np.frombuffer(own.as_buffer(), np.uint8)
+    return order
 
 
 def _ordered(own: np.ndarray, order: np.ndarray) -> np.ndarray:
     """The set, rarest first."""
-    level = order[(own >> np.uint64(64 - _CELL_BITS)).astype(np.int64)]
-    return own[np.lexsort((own, level))]
+    shift = np.uint64(65 - len(order).bit_length())
+    return own[np.lexsort((own, order[(own >> shift).astype(np.int64)]))]
 
 
 def _needed(n: np.ndarray | int, num: int, den: int):
@@ -202,8 +230,10 @@ class JaccardJoin:
     def __init__(self, documents: DataFrame, words: int, num: int, den: int):
         self.words, self.num, self.den = words, num, den
         self.documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        size = self.documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.bits = min(max((size // _BYTES_PER_CELL).bit_length(), _LEAST_BITS), _MOST_BITS)
         self.summary = materialize(
-            self.documents.mapInArrow(partial(_summarise, words=words), _SUMMARY)
+            self.documents.mapInArrow(partial(_summarise, words=words, bits=self.bits), _SUMMARY)
         )
         self.nodes = self.summary.where("row is null").select("doc_id", "n", "h1", "h2", *_PARITIES)
         key = ["n", "h1", "h2", *_PARITIES]
@@ -214,7 +244,7 @@ class JaccardJoin:
     def links(self) -> DataFrame:
         """Verified links between class representatives that connect all that is linked: a, b, overlap."""
         words, num, den = self.words, self.num, self.den
-        order = self.summary.sparkSession.sparkContext.broadcast(shingle_order(self.summary))
+        order = self.summary.sparkSession.sparkContext.broadcast(shingle_order(self.summary, self.bits))
 
         def entries(batches):
             yield from _index_entries(batches, words, num, den, order.value)
