@@ -54,6 +54,7 @@ def _place_visits(visits: str) -> str:
 _BASE["pv"] = _place_visits("recent")
 _BASE["pv_all"] = _place_visits("visits")
 _BASE["pv_sets"] = "select s.region_set, pv.* from pv join all_sets s using (region_id)"
+_BASE["pv_all_sets"] = "select s.region_set, p.* from pv_all p join all_sets s using (region_id)"
 _BASE["pv_asked"] = "select s.region_set, pv.* from pv join asked_sets s using (region_id)"
 
 
@@ -178,14 +179,14 @@ def _neighbours() -> dict[str, str]:
     return tables
 
 
-def _best(source: str, person: str, place: str, score: str, alias: str) -> str:
+def _best(source: str, person: str, place: str, score: str, alias: str, n: int = R.MAX_RECOMMENDATIONS) -> str:
     return f"""select person_id, region_id, id, category_id, "name", round(s + 1.37e-10, 6) {alias} from (
         select r.person_id, p.region_id, p.id, p.category_id, p."name", f.{score} s,
         row_number() over (partition by r.region_set, r.person_id order by floor(f.{score} * 1e9 + 0.137) desc, p.id) rn
         from (select distinct region_set, person_id, target_region_id from resolved) r
         join {source} f on f.region_set = r.region_set and f.{person} = r.person_id
         join places p on p.id = f.{place} and p.region_id = r.target_region_id)
-        where rn <= {R.MAX_RECOMMENDATIONS}"""
+        where rn <= {n}"""
 
 
 def _near_alike(same_name: str = "levenshtein(lower(c.name), lower(f.name)) <= 5") -> str:
@@ -213,7 +214,7 @@ def all_oracles() -> dict[str, str]:
         "scan_location_visits": (
             f"""select person_id, region_id, strftime("timestamp", '%Y%m') year_month,
             {_text('"timestamp"')} "timestamp", round(latitude, 6) latitude, round(longitude, 6) longitude
-            from recent""",
+            from visits""",
         ),
         "scan_place_visits": (
             f"""select person_id, {_text('"timestamp"')} "timestamp", place_id, region_id, category_id from pv""",
@@ -247,9 +248,9 @@ def all_oracles() -> dict[str, str]:
         ),
         "visit_summary": (
             f"""select count(*) visits, {_text('min("timestamp")')} first_timestamp,
-            {_text('max("timestamp")')} last_timestamp, count(distinct person_id) visitors from pv""",
+            {_text('max("timestamp")')} last_timestamp, count(distinct person_id) visitors from pv_all""",
         ),
-        "visit_counts_by_region": ("select region_id, count(*) visits from pv group by 1",),
+        "visit_counts_by_region": ("select region_id, count(*) visits from pv_all group by 1",),
         "visit_profile_by_region": (
             """select region_id, count(*) visits, round(min(latitude) + 1.37e-10, 6) min_latitude,
             round(max(latitude) + 1.37e-10, 6) max_latitude, round(avg(latitude) + 1.37e-10, 6) avg_latitude,
@@ -257,7 +258,7 @@ def all_oracles() -> dict[str, str]:
             round(avg(longitude) + 1.37e-10, 6) avg_longitude from visits group by 1""",
         ),
         "top_visitors": (
-            "select person_id, count(*) visits from pv group by 1 order by visits desc, person_id limit 10",
+            "select person_id, count(*) visits from pv_all group by 1 order by visits desc, person_id limit 10",
         ),
         "visit_month_counts": (
             """select region_id, strftime("timestamp", '%Y%m') year_month, count(*) visits from visits group by 1, 2""",
@@ -308,6 +309,10 @@ def all_oracles() -> dict[str, str]:
             "select region_set, source_id, target_id, round(balanced_weight, 6) balanced_weight from graph",
             {"graph": _graph("pv_sets")},
         ),
+        "stochastic_graph_all_days": (
+            "select region_set, source_id, target_id, round(balanced_weight, 6) balanced_weight from graph",
+            {"graph": _graph("pv_all_sets")},
+        ),
         "graph_source_sums": (
             "select region_set, source_id, round(sum(balanced_weight) + 1.37e-10, 6) weight_sum from graph group by 1, 2",
             {"graph": _graph("pv_sets")},
@@ -318,8 +323,8 @@ def all_oracles() -> dict[str, str]:
         ),
         "vertex_id_collisions": (
             """select id, string_agg(kind, ',' order by kind) kinds from (select distinct id, kind from
-            (select person_id - 100000 + 40 id, 'person' kind from pv union all select place_id, 'place' from pv
-             union all select category_id, 'category' from pv)) group by id having count(*) > 1""",
+            (select person_id - 100000 + 40 id, 'person' kind from pv_all union all select place_id, 'place' from pv_all
+             union all select category_id, 'category' from pv_all)) group by id having count(*) > 1""",
         ),
         "resolved_requests": ("select person_id, home_region_id, target_region_id, region_set from resolved",),
         "rejected_requests": (
@@ -338,19 +343,32 @@ def all_oracles() -> dict[str, str]:
         ),
         "walk_one_step": (walked, _walk(1, 0)),
         "walk_fixed_steps": (walked, _walk(R.FIXED_STEPS, 0)),
-        "walk_converged": (walked, _walk(R.MAX_ITERATIONS, R.EPSILON)),
+        "walk_converged": (walked, _walk(R.SQL_STEPS, R.EPSILON)),
         "walk_steps": (
             "select region_set, seed person_id, steps::bigint steps from taken",
-            _walk(R.MAX_ITERATIONS, R.FINE_EPSILON),
+            _walk(R.SQL_STEPS, R.FINE_EPSILON),
         ),
         "walk_recommended_places": (
             _best("walked", "seed", "id", "p", "probability"),
-            _walk(R.MAX_ITERATIONS, R.EPSILON),
+            _walk(R.SQL_STEPS, R.EPSILON),
         ),
         "similar_persons": (
             "select region_set, target_id, person_id, round(similarity, 6) similarity from nearest",
             _neighbours(),
         ),
+        "similar_persons_large_k": (
+            "select region_set, target_id, person_id, round(similarity, 6) similarity from sims",
+            _neighbours(),
+        ),
+        "cosine_pairs": (
+            """select region_set, target_id, person_id, round(coalesce(ps.s, 0), 6) place_similarity,
+            round(coalesce(cs.s, 0), 6) category_similarity from ps full join cs using (region_set, target_id, person_id)""",
+            _neighbours(),
+        ),
+        "knn_recommended_places_large_n": (
+            _best("estimates", "person_id", "place_id", "estimated_rating", "estimated_rating", R.LARGE_N),
+            _neighbours(),
+        ),
         "knn_estimates": (
             "select region_set, person_id, place_id, round(estimated_rating + 1.37e-10, 6) estimated_rating from estimates",
             _neighbours(),
@@ -369,10 +387,11 @@ def all_oracles() -> dict[str, str]:
             where not exists (select 1 from confirmed f where {_near_alike()})""",
         ),
         "mark_duplicate_places": (
-            f"""select id, region_id, "name", duplicate_of, round(d, 6) duplicate_distance from (
+            f"""select id, region_id, "name", coalesce(duplicate_of, -1) duplicate_of,
+            round(case when duplicate_of is null then -1.0 else d end, 6)::double duplicate_distance from (
             select c.id, c.region_id, c."name", f.id duplicate_of, {_metres("c", "f")} d,
             row_number() over (partition by c.id order by {_metres("c", "f")}, f.id) rn
-            from candidates c join confirmed f on {_near_alike()}) where rn = 1""",
+            from candidates c left join confirmed f on {_near_alike()}) where rn = 1""",
         ),
     }
     return {name: _with_used(*statement) for name, statement in sql.items()}

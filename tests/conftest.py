@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from wayfare.runtime import release  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,6 +25,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

@@ -129,9 +129,9 @@ def test_top_n_with_ties_equals_rank(spark):
 
 def test_top_k_is_the_same_for_small_and_large_k(spark, monkeypatch):
     rng = random.Random(5)
-    scores = [0.1, 0.5, 0.5, 1 / 3, 2 / 3, 1.0]
-    rows = [(g, i * 70_001, rng.choice(scores)) for g in range(3) for i in range(200)]
-    rows += [(0, 2**61 + i, 0.5) for i in range(50)] + [(7, 1, 0.2)]
+    scores = [0.1, 0.5, 0.5, 1 / 3, 2 / 3, 1.0, 11.99, -3.5, -0.1, 9e9]
+    rows = [(g, (i - 100) * 70_001, rng.choice(scores)) for g in range(3) for i in range(200)]
+    rows += [(0, 2**61 + i, 0.5) for i in range(50)] + [(7, 1, 0.2)] + [(8, 5, 1.5)] * 4
     df = spark.createDataFrame(rows, "g long, id long, score double")
     for k in (1, 60, 150, 1_500):
         expected = []
@@ -139,12 +139,29 @@ def test_top_k_is_the_same_for_small_and_large_k(spark, monkeypatch):
             expected += sorted((r for r in rows if r[0] == g), key=lambda r: (-round(r[2], 9), r[1]))[:k]
         small = ranking.top_k(df, ["g"], "score", "id", k)
         with monkeypatch.context() as patch:
-            patch.setattr(ranking, "_SMALL_K", 0)
+            patch.setattr(ranking, "SMALL_K", 0)
             large = ranking.top_k(df, ["g"], "score", "id", k)
         for got in (small, large):
             assert sorted(tuple(r) for r in got.select("g", "id", "score").collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("k", [1_000, 1_001])
+def test_top_k_around_the_switch(spark, k):
+    """Scores above 1, negative ids and scores, nulls: the limit of the window changes nothing."""
+    df = spark.range(1_200).select(
+        (F.col("id") - 600).alias("id"), F.lit(1).alias("g"), F.when(F.col("id") > 0, (F.col("id") - 200) / 100).alias("score")
+    )
+    got = sorted(r.id for r in ranking.top_k(df, ["g"], "score", "id", k).collect())
+    assert got == list(range(600 - k, 600))
+
+
+def test_scores_that_cannot_be_ranked_raise(spark):
+    for score in (float("nan"), 1e10):
+        df = spark.createDataFrame([(1, 1, score)], "g long, id long, score double")
+        with pytest.raises(Exception, match="cannot be ranked"):
+            ranking.top_k(df, ["g"], "score", "id", 1).collect()
+
+
 def test_scores_that_differ_by_rounding_noise_are_equal(spark):
     row = one(
         spark,

@@ -129,11 +129,11 @@ def test_graphs_of_all_sets_equal_the_graph_of_each_slice(tables, facts, days, m
     for function in ("person_likes_place", "person_likes_category", "category_selected_place"):
         monkeypatch.setattr(getattr(edges, f"{function}_edges"), "__defaults__", (3,))
     sets = region_sets.all_region_sets(tables.places())
-    together = graph.stochastic_graphs(facts[days], sets, 0.3, 0.7, days)
+    together = graph.stochastic_graphs(facts[days], sets, 0.3, 0.7)
     together = rows(together, "region_set", "source_id", "target_id", F.round("balanced_weight", 12))
     for key in ("region1", "region0_region2"):
         regions = [r.region_id for r in sets.where(F.col("region_set") == key).collect()]
-        alone = graph.stochastic_graph(facts[days].where(F.col("region_id").isin(regions)), 0.3, 0.7, days)
+        alone = graph.stochastic_graph(facts[days].where(F.col("region_id").isin(regions)), 0.3, 0.7)
         expected = rows(alone, F.lit(key), "source_id", "target_id", F.round("balanced_weight", 12))
         assert [r for r in together if r[0] == key] == expected
 
@@ -142,9 +142,9 @@ def test_only_requested_sets_are_built(spark, tables, facts):
     asked = spark.createDataFrame([(1, 0, 2)], "person_id long, home_region_id long, target_region_id long")
     sets = region_sets.requested_region_sets(asked)
     assert rows(sets) == [("region0_region2", 0), ("region0_region2", 2)]
-    found = graph.stochastic_graphs(facts[7], sets, 0.5, 0.5, 7)
+    found = graph.stochastic_graphs(facts[7], sets, 0.5, 0.5)
     assert rows(found.select("region_set").distinct()) == [("region0_region2",)]
-    everything = graph.stochastic_graphs(facts[7], region_sets.all_region_sets(tables.places()), 0.5, 0.5, 7)
+    everything = graph.stochastic_graphs(facts[7], region_sets.all_region_sets(tables.places()), 0.5, 0.5)
     assert rows(found) == rows(everything.where("region_set = 'region0_region2'"))
 
 

@@ -17,7 +17,7 @@ def data_dir(spark, tables, tmp_path_factory):
     S.write_categories(tables.categories(), f"{root}/categories")
     S.write_location_visits(tables.location_visits(), f"{root}/location_visits")
     jobs.build_place_visits(spark, root, 7)
-    jobs.build_stochastic_graphs(spark, root, 7, 0.5, 0.5)
+    jobs.build_stochastic_graphs(spark, root, 0.5, 0.5)
     jobs.build_ratings(spark, root, 100, 10)
     return root
 

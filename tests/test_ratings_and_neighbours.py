@@ -28,21 +28,6 @@ def test_vector_norm(spark, entries, norm):
     assert spark.range(1).select(ratings.vector_norm(vector(*entries)).alias("n")).first().n == norm
 
 
-@pytest.mark.parametrize(
-    "a,b,expected",
-    [
-        ([(0, 2)], [(0, 3)], 1),
-        ([(0, 2)], [(0, -3)], -1),
-        ([(0, 2)], [(1, 3)], 0),
-        ([(0, 2)], [(0, 1), (1, 1)], 1 / math.sqrt(2)),
-        ([], [(0, 1)], None),
-    ],
-)
-def test_vector_cosine(spark, a, b, expected):
-    got = spark.range(1).select(ratings.vector_cosine(vector(*a), vector(*b)).alias("c")).first().c
-    assert got == (None if expected is None else pytest.approx(expected))
-
-
 def test_ratings_keep_ties(spark):
     visits = [(1, 10, 100, 0)] * 3 + [(1, 11, 100, 0)] * 2 + [(1, 12, 101, 0)] * 2 + [(1, 13, 101, 0), (2, 13, 101, 0)]
     got = ratings.ratings(spark.createDataFrame(visits, VISIT), "place_id", 2)

@@ -116,7 +116,7 @@ def test_region_sets_do_not_mix(spark):
 def test_walks_on_a_graph_of_visits(spark, tables, facts):
     resolved = requests.resolve_requests(tables.requests(), tables.persons())
     sets = region_sets.requested_region_sets(resolved)
-    graphs = graph.stochastic_graphs(facts[7], sets, 0.5, 0.5, 7)
+    graphs = graph.stochastic_graphs(facts[7], sets, 0.5, 0.5)
     asked = resolved.orderBy("person_id").limit(3)
     found = by_seed(walk.walk_recommend(graphs, asked, 0.02, 5))
     edges = {}

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from wayfare.runtime import materialize
 
-# Up to this k a group's candidates after the per-task pre-selection stay few.
-_SMALL_K = 1_000
+# Up to this k a window keeps k rows of a group in each task; above it, digits are counted.
+# Both ways compare by the same rules and return the same rows.
+SMALL_K = 1_000
 _SCORE_STEPS = 1_000_000_000
 _OFF_BOUNDARY = 0.137
+_MOST = 9.2e9
+_LOWEST = -(2**63)
+_DIGIT_BITS = 16
 
 
 def comparable(score: Column) -> Column:
@@ -20,9 +24,12 @@ def comparable(score: Column) -> Column:
 
     Equal scores summed in different orders differ in the last bits. The odd offset keeps
     the boundary between two numbers away from short decimal fractions, where such scores
-    would fall on both sides.
+    would fall on both sides. Scores that have no such number (NaN, or beyond 9.2e9) raise;
+    null stays null.
     """
-    return F.floor(score * _SCORE_STEPS + _OFF_BOUNDARY)
+    number = score.cast("double")
+    wrong = F.raise_error(F.concat(F.lit("score cannot be ranked: "), number.cast("string"))).cast("long")
+    return F.when(F.abs(number) >= _MOST, wrong).otherwise(F.floor(number * _SCORE_STEPS + _OFF_BOUNDARY))
 
 
 def _cuts(histogram: DataFrame, by: Sequence[str], value: str, n: int, total: str | None) -> DataFrame:
@@ -89,44 +96,51 @@ def top_n_in_sets(
 def top_k(df: DataFrame, by: Sequence[str], score: str, tie: str, k: int) -> DataFrame:
     """Keep exactly ``k`` rows per group: highest ``score`` first, then lowest ``tie``.
 
-    Scores are compared in billionths, see ``comparable``.
+    Scores are compared in billionths, see ``comparable``; a null score comes last, a null
+    tie first. Ties are whole numbers. The same holds for every ``k``.
     """
     if k < 0:
         raise ValueError(f"k must not be negative: {k}")
-    if k <= _SMALL_K:
+    if k <= SMALL_K:
         # Each task keeps at most k rows of a group before the shuffle (WindowGroupLimit).
-        order = Window.partitionBy(*by).orderBy(comparable(F.col(score)).desc(), F.col(tie).asc())
+        order = Window.partitionBy(*by).orderBy(comparable(F.col(score)).desc_nulls_last(), F.col(tie).asc_nulls_first())
         return df.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= k).drop("_row")
     return _top_k_by_digits(df, by, score, tie, k)
 
 
-def _digits(number: Column, widths: Sequence[int]) -> list[Column]:
-    """Split a non-negative 63-bit number into digits of the given bit widths, high first."""
-    digits, below = [], sum(widths)
-    for width in widths:
-        below -= width
-        digits.append(F.shiftright(number, below).bitwiseAND((1 << width) - 1))
-    return digits
+def _digits(number: Column) -> list[Column]:
+    """The 16-bit digits of a long, high first, in the order of its signed values."""
+    shifted = number.bitwiseXOR(F.lit(_LOWEST))
+    places = range(64 - _DIGIT_BITS, -1, -_DIGIT_BITS)
+    return [F.shiftrightunsigned(shifted, place).bitwiseAND((1 << _DIGIT_BITS) - 1) for place in places]
+
+
+def _composed(digits: Sequence[str]) -> Column:
+    number = F.lit(0).cast("long")
+    for digit in digits:
+        number = F.shiftleft(number, _DIGIT_BITS).bitwiseOR(F.col(digit))
+    return number.bitwiseXOR(F.lit(_LOWEST))
 
 
 def _top_k_by_digits(df: DataFrame, by: Sequence[str], score: str, tie: str, k: int) -> DataFrame:
     """Top-k for a large k: find each group's k-th key digit by digit, then filter.
 
-    The key is (score descending, tie ascending) as two non-negative integers. Each pass
-    counts one digit of the rows that share the digits found so far, at most 65,536 rows
-    per group. Nothing is ever sorted by group. Scores must lie in [0, 1] and ties be
-    non-negative.
+    The key is (score descending, tie ascending) as two longs that keep the order of all
+    values, negative ones included. Each pass counts one digit of the rows that share the
+    digits found so far, at most 65,536 rows per group. Nothing is ever sorted by group;
+    only rows that equal the k-th key in both parts are numbered.
     """
-    steps_below_one = F.lit(_SCORE_STEPS) - comparable(F.col(score))
-    keyed = df.withColumn("_score_key", F.greatest(steps_below_one, F.lit(0).cast("long")))
-    keyed = materialize(keyed)
-    digits = _digits(F.col("_score_key"), (15, 15)) + _digits(F.col(tie), (15, 16, 16, 16))
+    # Descending scores are ascending complements; null, the lowest score, comes last.
+    down = F.coalesce(comparable(F.col(score)), F.lit(_LOWEST)).bitwiseXOR(F.lit(-1))
+    up = F.coalesce(F.col(tie).cast("long"), F.lit(_LOWEST))
+    keyed = materialize(df.withColumn("_score_key", down).withColumn("_tie_key", up))
+    digits = _digits(F.col("_score_key")) + _digits(F.col("_tie_key"))
     names = [f"_d{i}" for i in range(len(digits))]
     rows = keyed.select(*by, *[d.alias(name) for d, name in zip(digits, names)])
 
     up_to = Window.partitionBy(*by)
     found = rows.groupBy(*by).agg(F.lit(k).cast("long").alias("_need"), F.count(F.lit(1)).alias("_size"))
-    found = found.where(F.col("_size") > k).drop("_size")
+    found = materialize(found.where(F.col("_size") > k).drop("_size"))
     for i, name in enumerate(names):
         prefix = list(by) + names[:i]
         counts = rows.join(found, prefix).groupBy(*prefix, "_need", name).agg(F.count(F.lit(1)).alias("_n"))
@@ -138,18 +152,11 @@ def _top_k_by_digits(df: DataFrame, by: Sequence[str], score: str, tie: str, k:
         )
         found = materialize(found)
 
-    def compose(columns: Sequence[str], widths: Sequence[int]) -> Column:
-        number = F.lit(0).cast("long")
-        for column, width in zip(columns, widths):
-            number = F.shiftleft(number, width).bitwiseOR(F.col(column))
-        return number
-
-    cut = found.select(
-        *by,
-        compose(names[:2], (15, 15)).alias("_cut_score"),
-        compose(names[2:], (15, 16, 16, 16)).alias("_cut_tie"),
-    )
-    inside = F.col("_cut_score").isNull() | (
-        F.struct("_score_key", F.col(tie).cast("long")) <= F.struct("_cut_score", "_cut_tie")
-    )
-    return keyed.join(cut, list(by), "left").where(inside).drop("_score_key", "_cut_score", "_cut_tie")
+    half = len(names) // 2
+    cut = found.select(*by, _composed(names[:half]).alias("_cut_score"), _composed(names[half:]).alias("_cut_tie"), "_need")
+    key, at = F.struct("_score_key", "_tie_key"), F.struct("_cut_score", "_cut_tie")
+    sided = keyed.join(cut, list(by), "left")
+    before = sided.where(F.col("_need").isNull() | (key < at))
+    equal = sided.where(F.col("_need").isNotNull() & (key == at))
+    equal = equal.withColumn("_row", F.row_number().over(up_to.orderBy("_tie_key"))).where(F.col("_row") <= F.col("_need")).drop("_row")
+    return before.unionByName(equal).drop("_score_key", "_tie_key", "_cut_score", "_cut_tie", "_need")

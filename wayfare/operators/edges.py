@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.ranking import top_n_with_ties
+from wayfare.functions.times import DAY_MILLIS
 from wayfare.operators.covisits import covisits_any_time, covisits_within
-from wayfare.operators.ratings import visit_counts
+from wayfare.operators.ratings import span_millis, timed_visit_counts
 from wayfare.runtime import materialize
 
 # Fixed values
@@ -58,10 +59,14 @@ def category_selected_place_edges(place_visits: DataFrame, top_n: int = TOP_PLAC
     return _visit_share_edges(place_visits, "category_id", "place_id", top_n)
 
 
-def covisits(place_visits: DataFrame, interval_days: int, last_days: int | None = None) -> DataFrame:
-    """Co-visit counts; pass ``last_days`` when the facts span no more than that."""
-    if last_days is not None and last_days <= interval_days:
-        return covisits_any_time(materialize(visit_counts(place_visits)))
+def covisits(place_visits: DataFrame, interval_days: int, counts: DataFrame) -> DataFrame:
+    """Co-visit counts, from facts and their ``timed_visit_counts``.
+
+    The facts decide the form: when they span no more than the interval, every two visits
+    of a person count, and the counts are enough.
+    """
+    if span_millis(counts) <= interval_days * DAY_MILLIS:
+        return covisits_any_time(counts)
     return covisits_within(place_visits, interval_days)
 
 
@@ -69,11 +74,11 @@ def place_similar_place_edges(
     place_visits: DataFrame,
     interval_days: int = SIMILARITY_DAYS,
     top_n: int = TOP_SIMILAR_PLACES,
-    last_days: int | None = None,
 ) -> DataFrame:
     """Edges between places that the same persons visit within ``interval_days``."""
+    visits = materialize(timed_visit_counts(place_visits))
     counts = materialize(
-        covisits(place_visits, interval_days, last_days)
+        covisits(place_visits, interval_days, visits)
         .groupBy("place_id", "that_place_id")
         .agg(F.sum("visit_pairs").alias("visit_pairs"))
     )

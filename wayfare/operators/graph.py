@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.ranking import top_n_in_sets
 from wayfare.operators import edges as E
-from wayfare.operators.covisits import covisits_any_time, covisits_within
-from wayfare.operators.ratings import visit_counts
+from wayfare.operators.ratings import timed_visit_counts
 from wayfare.operators.region_sets import expand_to_region_sets, region_pairs_of_sets
 from wayfare.runtime import materialize
 
@@ -40,13 +39,13 @@ def balance_and_union(edge_sets: Sequence[DataFrame], betas: Sequence[float], ke
 
 
 def stochastic_graph(
-    place_visits: DataFrame, beta_person_place: float, beta_person_category: float, last_days: int | None = None
+    place_visits: DataFrame, beta_person_place: float, beta_person_category: float
 ) -> DataFrame:
     """The graph of one slice of place visits."""
     check_betas(beta_person_place, beta_person_category)
     return balance_and_union(
         [
-            E.place_similar_place_edges(place_visits, last_days=last_days),
+            E.place_similar_place_edges(place_visits),
             E.category_selected_place_edges(place_visits),
             E.person_likes_place_edges(place_visits),
             E.person_likes_category_edges(place_visits),
@@ -55,21 +54,15 @@ def stochastic_graph(
     )
 
 
-def region_edges(
-    place_visits: DataFrame, region_sets: DataFrame, last_days: int | None = None
-) -> dict[str, DataFrame]:
+def region_edges(place_visits: DataFrame, region_sets: DataFrame) -> dict[str, DataFrame]:
     """The four edge sets of all region sets at once, keyed by ``region_set``.
 
     Nothing is counted per set. Visits are counted once per person and place, co-visits
     once per pair of places; a place lies in one region, so those counts hold in every
     set. Both are used several times and written to the checkpoint folder for that.
     """
-    counts = materialize(visit_counts(place_visits))
-    if last_days is not None and last_days <= E.SIMILARITY_DAYS:
-        pairs = covisits_any_time(counts)
-    else:
-        pairs = covisits_within(place_visits, E.SIMILARITY_DAYS)
-    pairs = materialize(pairs)
+    counts = materialize(timed_visit_counts(place_visits))
+    pairs = materialize(E.covisits(place_visits, E.SIMILARITY_DAYS, counts))
 
     def summed(source: str, target: str) -> DataFrame:
         return counts.groupBy(source, "region_id", target).agg(F.sum("visits").alias("visits"))
@@ -109,11 +102,10 @@ def stochastic_graphs(
     region_sets: DataFrame,
     beta_person_place: float,
     beta_person_category: float,
-    last_days: int | None = None,
 ) -> DataFrame:
     """``(region_set, source_id, target_id, balanced_weight)`` of all given region sets."""
     check_betas(beta_person_place, beta_person_category)
-    sets = region_edges(place_visits, region_sets, last_days)
+    sets = region_edges(place_visits, region_sets)
     betas = {
         "place_place": BETA_PLACE_PLACE,
         "category_place": BETA_CATEGORY_PLACE,
@@ -151,6 +143,8 @@ def vertex_id_collisions(place_visits: DataFrame) -> DataFrame:
 
 
 def check_vertex_ids(place_visits: DataFrame) -> None:
-    collisions = vertex_id_collisions(place_visits).limit(5).collect()
-    if collisions:
-        raise ValueError(f"ids used for more than one kind of vertex: {[(r.id, r.kinds) for r in collisions]}")
+    collisions = materialize(vertex_id_collisions(place_visits))
+    number = collisions.count()
+    if number:
+        some = [(r.id, r.kinds) for r in collisions.orderBy("id").limit(5).collect()]
+        raise ValueError(f"ids used for more than one kind of vertex: {number}, the first are {some}")

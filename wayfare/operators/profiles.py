@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.runtime import materialize
+
 from wayfare.functions.text import label
 from wayfare.functions.times import year_month
 
@@ -89,12 +91,14 @@ def bounding_box_violation_counts(visits: DataFrame, regions: DataFrame) -> Data
 
 def assert_inside_bounding_boxes(visits: DataFrame, regions: DataFrame) -> None:
     """Raise when a visit lies outside the box of its region, and name the regions."""
-    bad = bounding_box_violation_counts(visits, regions).orderBy("region_id").limit(20).collect()
-    if bad:
+    bad = materialize(bounding_box_violation_counts(visits, regions))
+    number = bad.count()
+    if number:
         found = ", ".join(
-            f"region {r.region_id}: {r.latitude_violations} latitudes, {r.longitude_violations} longitudes" for r in bad
+            f"region {r.region_id}: {r.latitude_violations} latitudes, {r.longitude_violations} longitudes"
+            for r in bad.orderBy("region_id").limit(20).collect()
         )
-        raise ValueError(f"visits outside the box of their region: {found}")
+        raise ValueError(f"visits outside the box of their region in {number} regions, the first are {found}")
 
 
 def named_places(places: DataFrame, categories: DataFrame) -> DataFrame:

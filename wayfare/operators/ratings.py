@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.ranking import top_n_in_sets, top_n_with_ties
+from wayfare.functions.times import epoch_millis
 from wayfare.operators.region_sets import expand_to_region_sets
 
 # Fixed values
@@ -44,6 +45,20 @@ def visit_counts(place_visits: DataFrame) -> DataFrame:
     )
 
 
+def timed_visit_counts(place_visits: DataFrame) -> DataFrame:
+    """``visit_counts`` with the first and last millisecond of each person's visits to a place."""
+    millis = epoch_millis(F.col("timestamp"))
+    return place_visits.groupBy("person_id", "place_id", "region_id", "category_id").agg(
+        F.count(F.lit(1)).alias("visits"), F.min(millis).alias("first_millis"), F.max(millis).alias("last_millis")
+    )
+
+
+def span_millis(timed_counts: DataFrame) -> int:
+    """Milliseconds between the first and the last visit of all; 0 for no visits."""
+    row = timed_counts.agg(F.min("first_millis").alias("a"), F.max("last_millis").alias("b")).first()
+    return 0 if row.a is None else row.b - row.a
+
+
 def region_place_ratings(counts: DataFrame, sets: DataFrame, top_n: int, rating: str = "rating") -> DataFrame:
     """Place ratings of every region set, from the output of ``visit_counts``.
 
@@ -94,20 +109,6 @@ def vector_norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, e: total + e["value"] * e["value"]))
 
 
-def vector_cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two sparse vectors; null when one has length zero."""
-    shared = F.aggregate(
-        a,
-        F.lit(0.0),
-        lambda total, e: total
-        + F.aggregate(
-            F.filter(b, lambda f: f["index"] == e["index"]), F.lit(0.0), lambda t, f: t + f["value"] * e["value"]
-        ),
-    )
-    lengths = vector_norm(a) * vector_norm(b)
-    return shared / F.nullif(lengths, F.lit(0.0))
-
-
 def rating_norms(ratings_df: DataFrame, rating: str = "rating", keys: Sequence[str] = ()) -> DataFrame:
     """Euclidean length of each person's ratings in long form."""
     return ratings_df.groupBy(*keys, "person_id").agg(

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.ranking import top_k
-from wayfare.operators.graph import graph_vertices
 from wayfare.sources.tables import region_set_key
 
 
@@ -36,8 +35,11 @@ def rejected_requests(requests: DataFrame, persons: DataFrame) -> DataFrame:
 
 def requests_outside_graph(resolved: DataFrame, graph: DataFrame) -> DataFrame:
     """Resolved requests whose person is no vertex of the region set's graph."""
-    vertices = graph_vertices(graph).select("region_set", F.col("id").alias("person_id"))
-    missing = resolved.join(vertices, ["region_set", "person_id"], "left_anti")
+    asked = resolved.select("region_set", "person_id").distinct()
+    ends = graph.select("region_set", F.explode(F.array("source_id", "target_id")).alias("person_id"))
+    # Cut to the persons asked for before anything is made distinct.
+    present = ends.join(asked, ["region_set", "person_id"], "left_semi").distinct()
+    missing = resolved.join(present, ["region_set", "person_id"], "left_anti")
     return missing.withColumn("reason", F.lit("person not in graph"))
 
 
@@ -73,5 +75,10 @@ def recommended_places(
     # Rank on ids alone; the wide place columns join the few rows that remain.
     ids = places.select("id", "region_id")
     best = top_k(ranked.join(ids, ["id", "region_id"]), ["region_set", "person_id"], score, "id", n)
+    return with_place_columns(best, places, place_columns)
+
+
+def with_place_columns(best: DataFrame, places: DataFrame, place_columns: Sequence[str] | None = None) -> DataFrame:
+    """Add the columns of the places, ``(id, region_id)``, to the few rows that were chosen."""
     details = places.select("id", "region_id", *(place_columns or [c for c in places.columns if c not in ("id", "region_id")]))
     return best.join(details, ["id", "region_id"])

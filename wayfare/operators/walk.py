@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfare.functions.ranking import comparable, top_k
 from wayfare.functions.skew import partitions_for_pairs, salted_join
 from wayfare.operators.graph import graph_vertices
+from wayfare.operators.requests import with_place_columns
 from wayfare.runtime import materialize
 
 # Fixed value: the probability of jumping back to the start vertex.
@@ -103,30 +106,21 @@ def _partitions_for(seeds: DataFrame, edges: DataFrame) -> int:
     return partitions_for_pairs(seeds.sparkSession, moves, MOVES_PER_PARTITION)
 
 
-def walk(
-    graph: DataFrame, requests: DataFrame, epsilon: float = 0.05, max_iterations: int = 20
-) -> tuple[DataFrame, DataFrame]:
-    """Run the walk for every requested ``(region_set, person_id)``.
+@dataclass(frozen=True)
+class Walked:
+    """What the walks end with, in parts.
 
-    Returns the distributions ``(region_set, person_id, id, probability)`` and the number
-    of steps taken ``(region_set, person_id, steps)``.
+    ``taken``: (region_set, seed, steps). ``shared``: (region_set, steps, id, probability),
+    the vectors that all seeds of a set have in common at a step. ``own``: (region_set,
+    seed, id, probability), what a seed has besides.
+    """
 
-    The walk starts uniformly on all vertices and jumps back to the person with the
-    restart probability. It stops for a person after the first step of length at most
-    ``epsilon``, or after ``max_iterations``; others go on. Requests for vertices that
-    their graph lacks are left out, see ``requests_outside_graph``. Vertices without
-    outgoing edges lose their probability.
+    taken: DataFrame
+    shared: DataFrame
+    own: DataFrame
 
-    The step is linear, so a vector is a shared vector, the same for all persons of a
-    region set, plus a person's own part. The shared one starts uniform and only follows
-    the edges. The own part grows each step by the restart probability at the person
-    moved along the edges once more, and touches reached vertices only.
 
-    Persons have no incoming edges, so beyond the first move the own parts need only the
-    edges between places and categories. While those are few by count, they are broadcast
-    and a step shuffles the own parts once, by seed, and not what they send along the
-    edges. Each step is checkpointed, and one flag per step reaches the driver.
-    """
+def _walk(graph: DataFrame, requests: DataFrame, epsilon: float, max_iterations: int) -> Walked:
     if epsilon < 0:
         raise ValueError(f"epsilon must not be negative: {epsilon}")
     if max_iterations < 0:
@@ -138,7 +132,7 @@ def walk(
             "region_set", "source_id", "target_id", "balanced_weight"
         )
     )
-    vertices = graph_vertices(edges)
+    vertices = materialize(graph_vertices(edges))
     in_graph = vertices.select("region_set", F.col("id").alias("seed"))
     active = materialize(asked.join(in_graph, _SEED, "left_semi"))
     targets = edges.select("region_set", F.col("target_id").alias("source_id")).distinct()
@@ -184,17 +178,44 @@ def walk(
         finished.append(own)
 
     taken = materialize(reduce(DataFrame.unionByName, stopped))
+    parts = [p.select(*_SEED, "id", F.col("total").alias("probability")) for p in finished]
+    return Walked(taken, reduce(DataFrame.unionByName, shared_by_step), reduce(DataFrame.unionByName, parts))
+
+
+def walk(
+    graph: DataFrame, requests: DataFrame, epsilon: float = 0.05, max_iterations: int = 20
+) -> tuple[DataFrame, DataFrame]:
+    """Run the walk for every requested ``(region_set, person_id)``.
+
+    Returns the distributions ``(region_set, person_id, id, probability)`` and the number
+    of steps taken ``(region_set, person_id, steps)``.
+
+    The walk starts uniformly on all vertices and jumps back to the person with the
+    restart probability. It stops for a person after the first step of length at most
+    ``epsilon``, or after ``max_iterations``; others go on. Requests for vertices that
+    their graph lacks are left out, see ``requests_outside_graph``. Vertices without
+    outgoing edges lose their probability.
+
+    The step is linear, so a vector is a shared vector, the same for all persons of a
+    region set, plus a person's own part. The shared one starts uniform and only follows
+    the edges. The own part grows each step by the restart probability at the person
+    moved along the edges once more, and touches reached vertices only.
+
+    Persons have no incoming edges, so beyond the first move the own parts need only the
+    edges between places and categories. While those are few by count, they are broadcast
+    and a step shuffles the own parts once, by seed, and not what they send along the
+    edges. Each step is checkpointed, and one flag per step reaches the driver.
+    """
+    walked = _walk(graph, requests, epsilon, max_iterations)
     # Every start vertex gets its own copy of the shared vector at the step it stopped.
-    parts = salted_join(taken, reduce(DataFrame.unionByName, shared_by_step), ["region_set", "steps"], ["seed"])
-    parts = parts.select(*_SEED, "id", "probability")
-    for own_part in finished:
-        parts = parts.unionByName(own_part.select(*_SEED, "id", F.col("total").alias("probability")))
+    parts = salted_join(walked.taken, walked.shared, ["region_set", "steps"], ["seed"])
+    parts = parts.select(*_SEED, "id", "probability").unionByName(walked.own)
     found = (
         parts.groupBy("region_set", F.col("seed").alias("person_id"), "id")
         .agg(F.sum("probability").alias("probability"))
         .where((F.col("id") != F.col("person_id")) & (F.col("probability") > 0))
     )
-    return found, taken.select("region_set", F.col("seed").alias("person_id"), "steps")
+    return found, walked.taken.select("region_set", F.col("seed").alias("person_id"), "steps")
 
 
 def walk_recommend(
@@ -205,3 +226,48 @@ def walk_recommend(
     Not ordered, and places already visited stay in. The person is left out.
     """
     return walk(graph, requests, epsilon, max_iterations)[0]
+
+
+def walk_recommended_places(
+    graph: DataFrame,
+    resolved: DataFrame,
+    places: DataFrame,
+    epsilon: float = 0.05,
+    max_iterations: int = 20,
+    n: int = 10,
+) -> DataFrame:
+    """The ``n`` best places of each request's target region, without writing vectors densely.
+
+    The same as ``recommended_places`` of ``walk_recommend``. Both parts of a vector are cut
+    to places of target regions first. The shared places are ranked once per region set,
+    step and region. Of them a request needs no more than the first n plus as many as its
+    own part reached there, since all parts are positive; it joins those by their rank.
+    """
+    walked = _walk(graph, resolved, epsilon, max_iterations)
+    wanted = resolved.select("region_set", F.col("person_id").alias("seed"), F.col("target_region_id").alias("region_id")).distinct()
+    wanted = materialize(wanted.join(walked.taken, _SEED))
+    ids = places.select("id", "region_id")
+    regions = wanted.select("region_set", "steps", "region_id").distinct()
+    shared = walked.shared.join(ids, "id").join(regions, ["region_set", "steps", "region_id"], "left_semi")
+    order = Window.partitionBy("region_set", "steps", "region_id").orderBy(comparable(F.col("probability")).desc(), "id")
+    shared = materialize(shared.where(F.col("probability") > 0).withColumn("rank", F.row_number().over(order)))
+    own = walked.own.join(ids, "id").join(wanted, [*_SEED, "region_id"])
+    there = shared.select("region_set", "steps", "id", F.col("probability").alias("_shared"))
+    own = materialize(
+        own.join(there, ["region_set", "steps", "id"], "left").select(
+            *_SEED, "region_id", "id", (F.col("probability") + F.coalesce("_shared", F.lit(0.0))).alias("probability")
+        )
+    )
+    reached = own.groupBy(*_SEED, "region_id").agg(F.count(F.lit(1)).alias("_reached"))
+    deep = F.lit(n).cast("long") + F.coalesce("_reached", F.lit(0))
+    asked = wanted.join(reached, [*_SEED, "region_id"], "left").withColumn("rank", F.explode(F.sequence(F.lit(1).cast("long"), deep)))
+    from_shared = asked.drop("_reached").join(
+        shared.withColumn("rank", F.col("rank").cast("long")), ["region_set", "steps", "region_id", "rank"]
+    )
+    others = from_shared.join(own.select(*_SEED, "region_id", "id"), [*_SEED, "region_id", "id"], "left_anti")
+    columns = ["region_set", F.col("seed").alias("person_id"), "region_id", "id", "probability"]
+    scored = others.select(*columns).unionByName(own.select(*columns))
+    scored = scored.where((F.col("id") != F.col("person_id")) & (F.col("probability") > 0))
+    # One person may ask for several regions: the rank is that of all its places in a set.
+    best = top_k(scored, ["region_set", "person_id"], "probability", "id", n)
+    return with_place_columns(best, places)

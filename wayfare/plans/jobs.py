@@ -6,6 +6,8 @@ jobs add their own tables beside them. Each builder handles all region sets in o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,13 +32,13 @@ def _facts_and_sets(spark: SparkSession, data_dir: str) -> tuple[DataFrame, Data
 
 
 def build_stochastic_graphs(
-    spark: SparkSession, data_dir: str, last_days: int, beta_person_place: float, beta_person_category: float
+    spark: SparkSession, data_dir: str, beta_person_place: float, beta_person_category: float
 ) -> None:
-    """Store the graphs of all region sets, from facts that span ``last_days``."""
+    """Store the graphs of all region sets, from all stored facts."""
     use_utc(spark)
     facts, sets = _facts_and_sets(spark, data_dir)
     graph.check_vertex_ids(facts)
-    edges = graph.stochastic_graphs(facts, sets, beta_person_place, beta_person_category, last_days)
+    edges = graph.stochastic_graphs(facts, sets, beta_person_place, beta_person_category)
     tables.write_region_sets(edges, data_dir, tables.GRAPH_TABLE)
 
 
@@ -60,20 +62,29 @@ def build_ratings(spark: SparkSession, data_dir: str, max_rated_places: int, max
         tables.write_region_sets(vectors, data_dir, table)
 
 
-def load_ratings(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
+def load_ratings(
+    spark: SparkSession, data_dir: str, region_set: str | Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     return (
-        tables.load_region_sets(spark, data_dir, tables.PLACE_RATINGS_TABLE, schemas.ratings("place_id")),
-        tables.load_region_sets(spark, data_dir, tables.CATEGORY_RATINGS_TABLE, schemas.ratings("category_id")),
+        tables.load_region_sets(spark, data_dir, tables.PLACE_RATINGS_TABLE, schemas.ratings("place_id"), region_set),
+        tables.load_region_sets(spark, data_dir, tables.CATEGORY_RATINGS_TABLE, schemas.ratings("category_id"), region_set),
     )
 
 
-def load_graph(spark: SparkSession, data_dir: str, region_set: str | None = None) -> DataFrame:
+def load_graph(spark: SparkSession, data_dir: str, region_set: str | Sequence[str] | None = None) -> DataFrame:
     return tables.load_region_sets(spark, data_dir, tables.GRAPH_TABLE, schemas.GRAPH, region_set)
 
 
-def _resolved(spark: SparkSession, data_dir: str, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _resolved(spark: SparkSession, data_dir: str, asked: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Known requests, those of unknown persons, and the names of the region sets asked for.
+
+    The names reach the driver, so that the scans skip the folders of all other sets. There
+    are at most n (n + 1) / 2 for n regions.
+    """
     persons = tables.load_persons(spark, f"{data_dir}/persons")
-    return requests.resolve_requests(asked, persons), requests.rejected_requests(asked, persons)
+    resolved = materialize(requests.resolve_requests(asked, persons))
+    names = sorted(r.region_set for r in resolved.select("region_set").distinct().collect())
+    return resolved, requests.rejected_requests(asked, persons), names
 
 
 def _all_rejected(unknown: DataFrame, unserved: DataFrame) -> DataFrame:
@@ -94,11 +105,10 @@ def recommend_by_walk(
     Only the graphs of the region sets that are asked for are read.
     """
     use_utc(spark)
-    resolved, unknown = _resolved(spark, data_dir, asked)
-    edges = load_graph(spark, data_dir)
+    resolved, unknown, names = _resolved(spark, data_dir, asked)
+    edges = load_graph(spark, data_dir, names)
     places = tables.load_places(spark, f"{data_dir}/places")
-    found = walk.walk_recommend(edges, resolved, epsilon, max_iterations)
-    best = requests.recommended_places(found, places, resolved, "probability", max_recommendations)
+    best = walk.walk_recommended_places(edges, resolved, places, epsilon, max_iterations, max_recommendations)
     return best, _all_rejected(unknown, requests.requests_outside_graph(resolved, edges))
 
 
@@ -111,10 +121,13 @@ def recommend_by_neighbours(
     k_nearest: int,
     max_recommendations: int = 10,
 ) -> tuple[DataFrame, DataFrame]:
-    """Recommended places and rejected requests of ``asked (person_id, region_id)``."""
+    """Recommended places and rejected requests of ``asked (person_id, region_id)``.
+
+    Only the ratings of the region sets that are asked for are read.
+    """
     use_utc(spark)
-    resolved, unknown = _resolved(spark, data_dir, asked)
-    rated = load_ratings(spark, data_dir)
+    resolved, unknown, names = _resolved(spark, data_dir, asked)
+    rated = load_ratings(spark, data_dir, names)
     places = tables.load_places(spark, f"{data_dir}/places")
     found = neighbours.knn_recommend(*rated, resolved, place_weight, category_weight, k_nearest)
     best = requests.recommended_places(

@@ -27,7 +27,11 @@ K_NEAREST = 10
 MAX_RECOMMENDATIONS = 10
 EPSILON = 0.05
 FINE_EPSILON = 0.01
-MAX_ITERATIONS = 6
+MAX_ITERATIONS = 20
+# Steps that the SQL walks are written for; a test asserts that no walk takes more.
+SQL_STEPS = 6
+LARGE_K = 2_000_000
+LARGE_N = 1_001
 FIXED_STEPS = 3
 OFF_BOUNDARY = 1.37e-10
 STORED_REGION_SET = "region0_region1"
@@ -64,7 +68,7 @@ def resolved(t: DriverTables) -> DataFrame:
 
 def graph_of(t: DriverTables, sets: DataFrame | None = None) -> DataFrame:
     sets = region_sets.all_region_sets(t.places()) if sets is None else sets
-    return graph.stochastic_graphs(visits_of(t), sets, BETA_PERSON_PLACE, BETA_PERSON_CATEGORY, LAST_DAYS)
+    return graph.stochastic_graphs(visits_of(t), sets, BETA_PERSON_PLACE, BETA_PERSON_CATEGORY)
 
 
 def requested_graph(t: DriverTables) -> DataFrame:
@@ -113,11 +117,10 @@ def scan_categories(t: DriverTables) -> DataFrame:
 
 @_report
 def scan_location_visits(t: DriverTables) -> DataFrame:
-    """Written by region and month, then read back; recent visits skip whole months."""
+    """Written by region and month, then read back whole."""
     path = _new_folder(t)
     tables.write_location_visits(t.location_visits(), path)
-    recent = place_visits.recent_visits(tables.load_location_visits(t.spark, path), LAST_DAYS)
-    return recent.select(
+    return tables.load_location_visits(t.spark, path).select(
         "person_id", "region_id", "year_month", _text("timestamp"), _rounded("latitude"), _rounded("longitude")
     )
 
@@ -196,13 +199,13 @@ def bounding_box_violation_counts(t: DriverTables) -> DataFrame:
 
 @_report
 def visit_summary(t: DriverTables) -> DataFrame:
-    summary = profiles.visit_summary(visits_of(t))
+    summary = profiles.visit_summary(visits_of(t, ALL_DAYS))
     return summary.select("visits", _text("first_timestamp"), _text("last_timestamp"), "visitors")
 
 
 @_report
 def visit_counts_by_region(t: DriverTables) -> DataFrame:
-    return profiles.visit_counts_by_region(visits_of(t))
+    return profiles.visit_counts_by_region(visits_of(t, ALL_DAYS))
 
 
 @_report
@@ -214,7 +217,7 @@ def visit_profile_by_region(t: DriverTables) -> DataFrame:
 
 @_report
 def top_visitors(t: DriverTables) -> DataFrame:
-    return profiles.top_visitors(visits_of(t))
+    return profiles.top_visitors(visits_of(t, ALL_DAYS))
 
 
 @_report
@@ -321,7 +324,7 @@ def edges_category_place(t: DriverTables) -> DataFrame:
 
 @_report
 def edges_place_place(t: DriverTables) -> DataFrame:
-    return _edges(edges.place_similar_place_edges(visits_of(t), last_days=LAST_DAYS))
+    return _edges(edges.place_similar_place_edges(visits_of(t)))
 
 
 @_report
@@ -347,6 +350,14 @@ def stochastic_graph(t: DriverTables) -> DataFrame:
     return graph_of(t).select("region_set", "source_id", "target_id", _rounded("balanced_weight"))
 
 
+@_report
+def stochastic_graph_all_days(t: DriverTables) -> DataFrame:
+    """From facts of 30 days, in which the seven-day interval decides which visits pair."""
+    sets = region_sets.all_region_sets(t.places())
+    found = graph.stochastic_graphs(visits_of(t, ALL_DAYS), sets, BETA_PERSON_PLACE, BETA_PERSON_CATEGORY)
+    return found.select("region_set", "source_id", "target_id", _rounded("balanced_weight"))
+
+
 @_report
 def graph_source_sums(t: DriverTables) -> DataFrame:
     return graph.graph_source_sums(graph_of(t)).select("region_set", "source_id", _sum_rounded("weight_sum"))
@@ -360,7 +371,7 @@ def graph_vertices(t: DriverTables) -> DataFrame:
 @_report
 def vertex_id_collisions(t: DriverTables) -> DataFrame:
     """Person ids moved onto the place ids, to see the collisions found."""
-    moved = visits_of(t).withColumn("person_id", F.col("person_id") - 100_000 + 40)
+    moved = visits_of(t, ALL_DAYS).withColumn("person_id", F.col("person_id") - 100_000 + 40)
     return graph.vertex_id_collisions(moved)
 
 
@@ -419,8 +430,9 @@ def walk_steps(t: DriverTables) -> DataFrame:
 @_report
 def walk_recommended_places(t: DriverTables) -> DataFrame:
     asked = resolved(t)
-    found = walk.walk_recommend(requested_graph(t), asked, EPSILON, MAX_ITERATIONS)
-    best = requests.recommended_places(found, t.places(), asked, "probability", MAX_RECOMMENDATIONS)
+    best = walk.walk_recommended_places(
+        requested_graph(t), asked, t.places(), EPSILON, MAX_ITERATIONS, MAX_RECOMMENDATIONS
+    )
     return best.select("person_id", "region_id", "id", "category_id", "name", _sum_rounded("probability"))
 
 
@@ -432,6 +444,24 @@ def similar_persons(t: DriverTables) -> DataFrame:
     return found.select("region_set", "target_id", "person_id", _rounded("similarity"))
 
 
+@_report
+def cosine_pairs(t: DriverTables) -> DataFrame:
+    """Place and category cosine of every two persons of a region set that share an entity."""
+    asked = resolved(t)
+    rated = region_ratings(t, region_sets.requested_region_sets(asked))
+    found = neighbours.similarities(*rated, asked)
+    return found.select("region_set", "target_id", "person_id", _rounded("place_similarity"), _rounded("category_similarity"))
+
+
+@_report
+def similar_persons_large_k(t: DriverTables) -> DataFrame:
+    """As many neighbours as a production run asks for, found digit by digit."""
+    asked = resolved(t)
+    rated = region_ratings(t, region_sets.requested_region_sets(asked))
+    found = neighbours.similar_persons(*rated, asked, PLACE_WEIGHT, CATEGORY_WEIGHT, LARGE_K)
+    return found.select("region_set", "target_id", "person_id", _rounded("similarity"))
+
+
 def _estimates(t: DriverTables, asked: DataFrame) -> DataFrame:
     rated = region_ratings(t, region_sets.requested_region_sets(asked))
     return neighbours.knn_recommend(*rated, asked, PLACE_WEIGHT, CATEGORY_WEIGHT, K_NEAREST)
@@ -451,6 +481,16 @@ def knn_recommended_places(t: DriverTables) -> DataFrame:
     return best.select("person_id", "region_id", "id", "category_id", "name", _sum_rounded("estimated_rating"))
 
 
+@_report
+def knn_recommended_places_large_n(t: DriverTables) -> DataFrame:
+    """More places than a window would keep, by ratings above 1."""
+    asked = resolved(t)
+    best = requests.recommended_places(
+        _estimates(t, asked), t.places(), asked, "estimated_rating", LARGE_N, place="place_id"
+    )
+    return best.select("person_id", "region_id", "id", "category_id", "name", _sum_rounded("estimated_rating"))
+
+
 # --- duplicate places ---------------------------------------------------------------
 
 
@@ -468,9 +508,14 @@ def drop_duplicate_places(t: DriverTables) -> DataFrame:
 
 @_report
 def mark_duplicate_places(t: DriverTables) -> DataFrame:
+    """Every place; -1 where it is no duplicate."""
     marked = dedup.mark_duplicate_places(t.candidate_places(), t.confirmed_places())
-    return marked.where(F.col("duplicate_of").isNotNull()).select(
-        "id", "region_id", "name", "duplicate_of", _rounded("duplicate_distance")
+    return marked.select(
+        "id",
+        "region_id",
+        "name",
+        F.coalesce("duplicate_of", F.lit(-1).cast("long")).alias("duplicate_of"),
+        F.round(F.coalesce("duplicate_distance", F.lit(-1.0)), 6).alias("duplicate_distance"),
     )
 
 

@@ -111,6 +111,3 @@ class DriverTables:
     def confirmed_places(self) -> DataFrame:
         """Places already checked by someone; region 5 has none, on purpose."""
         return self.candidate_places().where((F.col("id") % 41 == 0) & (F.col("region_id") != 5))
-
-    def embeddings(self) -> DataFrame:
-        return self._read("embeddings")

@@ -89,9 +89,11 @@ def load_region_sets(
     root: str,
     table: str,
     schema: T.StructType | None = None,
-    region_set: str | None = None,
+    region_set: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Read a table kept per region set; naming a set reads that set's folder only."""
+    """Read a table kept per region set; naming one or several sets reads their folders only."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     rows = reader.parquet(f"{root}/{table}")
-    return rows if region_set is None else rows.where(F.col("region_set") == region_set)
+    if region_set is None:
+        return rows
+    return rows.where(F.col("region_set").isin([region_set] if isinstance(region_set, str) else list(region_set)))
