@@ -56,12 +56,16 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, gram_words: int = GRAM_W
     if not count:
         return []
     grams = [xxhash.xxh3_64_intdigest(hashes[i : ends[i]].tobytes()) for i in range(count)]
-    # A window ends before the first gram start that is window_words further on.
-    stops = np.minimum(np.searchsorted(before, before[:count] + window_words), count)
+    # A window ends before the first gram start that is window_words further on; all grams
+    # together are one where there is none.
+    stops = np.searchsorted(before[: count + 1], before[:count] + window_words)
+    stops = stops[stops <= count]
+    if not len(stops):
+        stops = np.array([count])
     selected, best, stack = [], -1, []
     # Monotone stack over the sliding window; the smallest gram, the last one of equals.
     head, right = 0, 0
-    for left in range(count):
+    for left in range(len(stops)):
         while right < stops[left]:
             while len(stack) > head and grams[stack[-1]] >= grams[right]:
                 stack.pop()
@@ -72,9 +76,6 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, gram_words: int = GRAM_W
         if stack[head] != best:
             best = stack[head]
             selected.append((grams[best] - 2**63, best))
-        if right == count and stops[left] == count:
-            # All later windows end here too and lie inside this one.
-            break
     return selected
 
 
