@@ -303,6 +303,9 @@ def all_oracles() -> dict[str, str]:
         "edges_place_place_banded": (
             f"""{edge_columns} ({_shares(_covisits("pv_all", 7), "place_id", "that_id", 50)})""",
         ),
+        "covisits_of_heavy_persons": (
+            f"""select place_id, that_id that_place_id, c::bigint visit_pairs from ({_covisits("pv_all", 7)})""",
+        ),
         "region_set_visits": ("select region_set, count(*) visits from pv_sets group by 1",),
         "region_set_members": ("select region_set, region_id from all_sets",),
         "stochastic_graph": (

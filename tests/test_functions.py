@@ -175,8 +175,9 @@ def test_scores_that_differ_by_rounding_noise_are_equal(spark):
 
 
 @pytest.mark.parametrize("pairs_per_part", [1, 7, 1_000_000])
-def test_salted_join_equals_join(spark, pairs_per_part):
+@pytest.mark.parametrize("right_rows", [40, 400])
+def test_salted_join_equals_join(spark, pairs_per_part, right_rows):
     left = spark.createDataFrame([(i % 3 if i % 2 else 0, i) for i in range(200)], "k long, l long")
-    right = spark.createDataFrame([(i % 4, i) for i in range(40)], "k long, r long")
+    right = spark.createDataFrame([(i % 4, i) for i in range(right_rows)], "k long, r long")
     got = skew.salted_join(left, right, ["k"], ["l"], pairs_per_part).select("k", "l", "r")
     assert sorted(got.collect()) == sorted(left.join(right, "k").select("k", "l", "r").collect())

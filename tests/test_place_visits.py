@@ -16,7 +16,10 @@ PLACE = "id long, region_id long, category_id long, latitude double, longitude d
 NOON = dt.datetime(2024, 1, 10, 12)
 
 
-def test_equals_plain_region_join(tables):
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_equals_plain_region_join(tables, monkeypatch, limit):
+    """With places that are broadcast, and with more of them by a shuffle."""
+    monkeypatch.setattr(P, "MAX_BROADCAST_PLACES", limit)
     visits, places = tables.location_visits(), tables.places()
     apart = distance_m(*[F.col(c) for c in ("v.latitude", "v.longitude", "p.latitude", "p.longitude")])
     plain = (

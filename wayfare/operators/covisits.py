@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.functions.skew import partitions_for_pairs
 from wayfare.functions.times import DAY_MILLIS, epoch_millis
 from wayfare.runtime import materialize
 
@@ -22,40 +23,48 @@ _BLOCK = 2_048
 # Visits of one person in one time bucket that may be compared one by one.
 _LIGHT_BUCKET = 4_096
 _DIGIT_BITS = 5
+_PAIRS_PER_PARTITION = 20_000_000
 
 
-def _product_pairs(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _product_pairs(counts: DataFrame, keys: Sequence[str], block: int | None = None) -> DataFrame:
     """Pairs of places under the same ``keys``, with the product of their ``visits``.
 
-    Only ``place_id < that_place_id`` is formed; the counts are symmetric. The places of
-    a heavy key are cut into blocks by hash, and each pair of blocks is a task of its own.
+    Each unordered pair is formed once; the counts are symmetric. The places of a key with
+    more than ``block`` are cut into blocks by hash, and each pair of blocks is a task of
+    its own. The number of partitions follows the counted pairs, as bytes say little.
     """
-    keys = list(keys)
-    heavy = (
-        counts.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_places"))
-        .where(F.col("_places") > _BLOCK)
-        .select(*keys, F.ceil(F.col("_places") / _BLOCK).alias("_blocks"))
-    )
+    keys, block = list(keys), block or _BLOCK
+    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_places"))
+    pairs = sizes.agg(F.sum(F.col("_places") * F.col("_places") / 2).alias("n")).first().n or 0
+    partitions = partitions_for_pairs(counts.sparkSession, pairs, _PAIRS_PER_PARTITION)
+    heavy = sizes.where(F.col("_places") > block).select(*keys, F.ceil(F.col("_places") / block).alias("_blocks"))
     blocks = F.coalesce(F.col("_blocks"), F.lit(1).cast("long"))
     own = F.pmod(F.xxhash64("place_id"), blocks)
-    every = F.sequence(F.lit(0).cast("long"), blocks - 1)
-    blocked = counts.join(heavy, keys, "left").withColumn("_own", own).withColumn("_other", F.explode(every))
-    left = blocked.select(*keys, *_PLACE, "visits", F.col("_own").alias("_row"), F.col("_other").alias("_column"))
+    blocked = counts.join(heavy, keys, "left").withColumn("_blocks", blocks).withColumn("_own", own)
+    # A block meets itself and those after it.
+    left = blocked.select(
+        *keys, *_PLACE, "visits", F.col("_own").alias("_row"), F.explode(F.sequence(F.col("_own"), F.col("_blocks") - 1)).alias("_column")
+    )
     right = blocked.select(
         *keys,
         *[F.col(c).alias(f"that_{c}") for c in _PLACE],
         F.col("visits").alias("_that_visits"),
         F.col("_own").alias("_column"),
-        F.col("_other").alias("_row"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_own"))).alias("_row"),
     )
-    return (
-        left.join(right, [*keys, "_row", "_column"])
-        .where(F.col("place_id") < F.col("that_place_id"))
-        .select(
-            *_PLACE, *[f"that_{c}" for c in _PLACE], (F.col("visits") * F.col("_that_visits")).alias("visit_pairs")
+    on = [*keys, "_row", "_column"]
+    swap = F.col("place_id") > F.col("that_place_id")
+    met = left.repartition(partitions, *on).join(right.repartition(partitions, *on), on)
+    met = met.where(
+        F.when(F.col("_row") == F.col("_column"), F.col("place_id") < F.col("that_place_id")).otherwise(
+            F.col("place_id") != F.col("that_place_id")
         )
     )
+    return met.select(
+        *[F.when(swap, F.col(f"that_{c}")).otherwise(F.col(c)).alias(c) for c in _PLACE],
+        *[F.when(swap, F.col(c)).otherwise(F.col(f"that_{c}")).alias(f"that_{c}") for c in _PLACE],
+        (F.col("visits") * F.col("_that_visits")).alias("visit_pairs"),
+    )
 
 
 def _sum_both_ways(pairs: DataFrame) -> DataFrame:
@@ -80,14 +89,18 @@ def covisits_any_time(counts: DataFrame) -> DataFrame:
     return _sum_both_ways(_product_pairs(counts, ["person_id"]))
 
 
-def covisits_within(place_visits: DataFrame, interval_days: int) -> DataFrame:
+def covisits_within(
+    place_visits: DataFrame, interval_days: int, block: int | None = None, light_bucket: int | None = None
+) -> DataFrame:
     """Two visits of a person count when at most ``interval_days`` apart.
 
     Time is cut into buckets one millisecond longer than the interval. Within a bucket
     all visits pair, which is a product of counts. Of two neighbouring buckets, a visit at
     offset o in the earlier and one at offset p in the later bucket pair when p < o.
-    Buckets further apart never pair.
+    Buckets further apart never pair. ``block`` and ``light_bucket`` say what is heavy:
+    distinct places, and visits, of one person in one bucket.
     """
+    light_bucket = _LIGHT_BUCKET if light_bucket is None else light_bucket
     width = interval_days * DAY_MILLIS + 1
     millis = epoch_millis(F.col("timestamp"))
     timed = materialize(
@@ -98,13 +111,13 @@ def covisits_within(place_visits: DataFrame, interval_days: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("visits"))
     )
     in_bucket = timed.groupBy("person_id", "_bucket", *_PLACE).agg(F.sum("visits").alias("visits"))
-    same = _product_pairs(in_bucket, ["person_id", "_bucket"])
+    same = _product_pairs(materialize(in_bucket), ["person_id", "_bucket"], block)
 
     # A seam lies between a bucket and the next; visits stand before or after it.
     heavy_seams = (
         timed.groupBy("person_id", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > _LIGHT_BUCKET)
+        .where(F.col("_n") > light_bucket)
         .select(
             "person_id", F.explode(F.array(F.col("_bucket"), F.col("_bucket") - 1)).alias("_seam"), F.lit(True).alias("_heavy")
         )

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.operators import dedup, edges, graph, neighbours, place_visits, profiles, ratings, region_sets, requests, walk
+from wayfare.operators import covisits, dedup, edges, graph, neighbours, place_visits, profiles, ratings, region_sets, requests, walk
 from wayfare.runtime import checkpoint_dir, materialize, use_utc
 from wayfare.sources import schemas, tables
 from wayfare.sources.driver_tables import DriverTables
@@ -32,6 +32,7 @@ MAX_ITERATIONS = 20
 SQL_STEPS = 6
 LARGE_K = 2_000_000
 LARGE_N = 1_001
+HEAVY_PLACES, HEAVY_VISITS = 4, 6
 FIXED_STEPS = 3
 OFF_BOUNDARY = 1.37e-10
 STORED_REGION_SET = "region0_region1"
@@ -333,6 +334,13 @@ def edges_place_place_banded(t: DriverTables) -> DataFrame:
     return _edges(edges.place_similar_place_edges(visits_of(t, ALL_DAYS)))
 
 
+@_report
+def covisits_of_heavy_persons(t: DriverTables) -> DataFrame:
+    """Co-visits of 30 days with limits so low that many persons count as heavy."""
+    found = covisits.covisits_within(visits_of(t, ALL_DAYS), edges.SIMILARITY_DAYS, HEAVY_PLACES, HEAVY_VISITS)
+    return found.groupBy("place_id", "that_place_id").agg(F.sum("visit_pairs").alias("visit_pairs"))
+
+
 @_report
 def region_set_visits(t: DriverTables) -> DataFrame:
     sets = region_sets.all_region_sets(t.places())
