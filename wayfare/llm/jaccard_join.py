@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm.components import connected_components
-from wayfare.llm.words import mix, word_chunks
+from wayfare.llm.words import bound_batches, mix, word_chunks
 from wayfare.runtime import materialize
 
 # Cells of the table of shingle counts: one per 100 bytes of text (16 shingles or so), a
@@ -258,8 +258,9 @@ class JaccardJoin:
         shared = index.withColumn("_entries", F.count(F.lit(1)).over(lists)).where("_entries > 1").drop("_entries")
         # A shingle of one list entry is in no other prefix: matches before a place are at most the shared ones there.
         earlier = Window.partitionBy("n", "h1", "h2").orderBy("place")
-        shared = shared.withColumn("nth", F.row_number().over(earlier))
-        shared = materialize(shared.join(self.classes, ["n", "h1", "h2"]).select("shingle", "id", "n", "place", "nth", *_PARITIES))
+        shared = shared.withColumn("nth", F.row_number().over(earlier)).withColumn("before", F.lag("shingle").over(earlier))
+        shared = shared.join(self.classes, ["n", "h1", "h2"])
+        shared = materialize(shared.select("shingle", "id", "n", "place", "nth", "before", *_PARITIES))
         leaders = shared.groupBy("shingle").agg(F.min(F.struct("n", "id", "place", "nth", *_PARITIES)).alias("leader"))
         shared = shared.join(leaders, "shingle")
         led = shared.where(F.col("id") != F.col("leader.id")).select(
@@ -274,12 +275,15 @@ class JaccardJoin:
         tagged = shared.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = tagged.groupBy("shingle").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y")
         open_entries = tagged.join(mixed.select("shingle"), "shingle").where(F.col("id") != F.col("leader.id"))
-        open_entries = materialize(open_entries.select("shingle", "id", "n", "place", "nth", "component", *_PARITIES))
+        open_entries = materialize(open_entries.select("shingle", "id", "n", "place", "nth", "before", "component", *_PARITIES))
         left, right = open_entries.alias("a"), open_entries.alias("b")
         ahead = F.struct(F.col("a.n"), F.col("a.id")) < F.struct(F.col("b.n"), F.col("b.id"))
+        # Two entries with the same shared shingle before them have met there, under the same filters.
+        met = F.coalesce(F.col("a.before") == F.col("b.before"), F.lit(False))
         pairs = left.join(
             right,
             (F.col("a.shingle") == F.col("b.shingle"))
+            & ~met
             & ahead
             & (F.col("a.component") != F.col("b.component"))
             & _pair_filter(num, den),
@@ -336,6 +340,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, num: int = 80, den: in
     Where ids repeat, the join runs on hashes of id and text; rows of one id are then one
     node, so that their components become one.
     """
+    bound_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     repeated = rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
