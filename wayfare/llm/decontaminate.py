@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.words import CLASSES, Words, hash_words, word_chunks
+from wayfare.llm.words import CLASSES, Words, bound_batches, hash_words, word_chunks
 
 K1, B = 1.2, 0.75
 SHARE = 0.5
@@ -219,6 +219,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, leas
     The score is that of the best passage, 1 being what is needed. The parts together must
     overlap by ``least``, weighed by their 5-grams' number.
     """
+    bound_batches(documents.sparkSession)
     items = benchmark.select("item_id", "text")
     shards = max(1, -(-items.count() // shard_items))
     doc, item = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (benchmark, "item_id")))

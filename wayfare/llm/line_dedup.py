@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from wayfare.llm.words import bound_batches
 from wayfare.runtime import materialize
 
 GRAM_WORDS = 20
@@ -138,6 +139,7 @@ def repeated_runs(
     documents: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS, run_words: int = RUN_WORDS
 ) -> DataFrame:
     """``_key`` of a document (hash of id and text) and ``runs`` of its lines (not counting blank ones) to delete."""
+    bound_batches(documents.sparkSession)
     texts = documents.select(*_keyed(documents), "text").where("text is not null")
     lined = texts.mapInArrow(
         partial(_fingerprint_rows, gram_words=gram_words, window_words=window_words),

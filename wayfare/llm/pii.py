@@ -21,6 +21,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from wayfare.llm.words import bound_batches
+
 KINDS = ("email", "ip", "card", "phone")
 
 Span = tuple[int, int, int]  # start, end, index of the kind
@@ -317,6 +319,7 @@ def _find(batches):
 
 def find_personal_data(documents: DataFrame) -> DataFrame:
     """One row per document: numbers of base spans (``n_``) and of all spans (``all_``), digest, spans."""
+    bound_batches(documents.sparkSession)
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     totals = ", ".join(f"all_{k} long" for k in KINDS)
     kind = documents.schema["doc_id"].dataType.simpleString()

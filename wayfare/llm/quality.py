@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.features import LinearModel, collect_vectors, fit_ftrl, labelled_sample, remainder, score_table
+from wayfare.llm.words import bound_batches
 
 BITS = 18
 # Bound of the training sample: labelled rows, drawn by a hash of the id.
@@ -23,6 +24,7 @@ _WORDS = {"lower": False, "signs": True}
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> LinearModel:
     """Fit on labelled documents outside the held-out fold."""
+    bound_batches(documents.sparkSession)
     used = labels.where(remainder(F.col("doc_id"), FOLDS) != 0)
     sample = labelled_sample(documents, used, "quality", rows)
     vectors, target = collect_vectors(sample, BITS, **_WORDS)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.features import LinearModel, fit_ftrl, labelled_sample, remainder, sigmoid
-from wayfare.llm.words import Words, combine, hash_words, word_chunks
+from wayfare.llm.words import Words, bound_batches, combine, hash_words, word_chunks
 
 FOLDS = 3
 HELD_OUT = 1
@@ -255,6 +255,7 @@ def _feature_indices(words: Words) -> list[np.ndarray]:
 
 def fit(documents: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROWS, training_rows: int = TRAINING_ROWS) -> LinearModel:
     """Voters, label model and classifier, from documents outside the held-out fold."""
+    bound_batches(documents.sparkSession)
     learned = remainder(F.col("doc_id"), FOLDS) != HELD_OUT
     used = labels.where(learned)
     voters = learn_lexicons(labelled_sample(documents, used, "toxic", lexicon_rows))

@@ -14,9 +14,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-_SEGMENT = 1 << 20
-_CHUNK_BYTES = 4 << 20
+_SEGMENT = 1 << 18
+_CHUNK_BYTES = 2 << 20
 _FACTOR = np.uint64(0x5851F42D4C957F2D)
 _MIX_A, _MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -171,6 +172,19 @@ def chunks(texts: pa.Array, most_bytes: int = _CHUNK_BYTES) -> Iterator[tuple[in
         row = until
 
 
+# Rows that Spark hands to Python at once, in all operators over texts: their memory in
+# both processes is this many texts.
+_ROWS_AT_ONCE = 1_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the batches between Spark and Python small, unless the session has smaller ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    current = int(spark.conf.get(name))
+    if current <= 0 or current > _ROWS_AT_ONCE:
+        spark.conf.set(name, str(_ROWS_AT_ONCE))
+
+
 def word_chunks(texts: pa.Array, **options) -> Iterator[tuple[int, int, Words]]:
     for row, until, data, offsets in chunks(texts):
         yield row, until, hash_words(data, offsets, **options)
