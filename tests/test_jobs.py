@@ -102,8 +102,58 @@ def test_deduplicate_job(spark, data_dir):
 def test_every_query_has_sql():
     import __spark_entry__ as entry
 
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 50
+    assert set(report.all_queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(report.all_queries()) >= 60
+
+
+def partition_filters(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("PartitionFilters: [")[1].split("]")[0] for line in plan.splitlines() if "PartitionFilters: [" in line]
+
+
+def test_jobs_read_only_the_region_sets_asked_for(spark, data_dir, monkeypatch):
+    """What the jobs load is filtered by the names of the sets, in the scans of graph and ratings."""
+    loaded = []
+    load = S.load_region_sets
+
+    def watched(spark, root, table, schema=None, region_set=None):
+        loaded.append((table, region_set, load(spark, root, table, schema, region_set)))
+        return loaded[-1][2]
+
+    monkeypatch.setattr(S, "load_region_sets", watched)
+    asked = ask(spark, (100_000, None), (100_001, 2))
+    jobs.recommend_by_walk(spark, data_dir, asked, 0.05, 20, 5)
+    jobs.recommend_by_neighbours(spark, data_dir, asked, 0.5, 0.5, 10, 5)
+    assert [table for table, _, _ in loaded] == [S.GRAPH_TABLE, S.PLACE_RATINGS_TABLE, S.CATEGORY_RATINGS_TABLE]
+    for _, names, df in loaded:
+        assert names == ["region0", "region1_region2"]
+        assert all("region0" in f and "region1_region2" in f for f in partition_filters(df))
+        assert len(partition_filters(df)) == 1
+
+
+def test_facts_decide_the_form_of_covisits(spark, tables, facts):
+    """Facts of 30 days are cut by the seven-day interval, whoever builds the graph."""
+    from wayfare.operators import edges, graph, region_sets
+
+    sets = region_sets.all_region_sets(tables.places()).where("region_set = 'region0'")
+    whole = graph.region_edges(facts[30], sets)["place_place"].count()
+    inside = edges.place_similar_place_edges(facts[30].where("region_id = 0")).count()
+    every_two = edges.place_similar_place_edges(facts[30].where("region_id = 0"), interval_days=30).count()
+    assert whole == inside < every_two
+
+
+def test_nothing_is_left_in_the_shared_folder(spark):
+    import glob
+
+    from wayfare import runtime
+
+    kept = runtime._written.pop(spark.sparkContext.applicationId, [])
+    runtime.materialize(spark.range(3))
+    (path,) = runtime._written[spark.sparkContext.applicationId]
+    assert glob.glob(path.removeprefix("file:"))
+    assert runtime.release(spark) == 1
+    assert not glob.glob(path.removeprefix("file:"))
+    runtime._written[spark.sparkContext.applicationId] = kept
 
 
 @pytest.mark.parametrize("name", sorted(report._queries))

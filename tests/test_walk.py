@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators import graph, region_sets, requests, walk
+from wayfare.runtime import materialize
 
-# Golden example: a graph of five vertices and where walks from vertex 1 end.
+# A graph of five vertices and where walks from vertex 1 end.
 EDGES = [
     (1, 2, 0.4),
     (1, 3, 0.24),
@@ -87,9 +88,10 @@ def test_bad_arguments(spark, epsilon, iterations):
         walk.walk(make_graph(spark, EDGES), ask(spark, 1), epsilon, iterations)
 
 
-@pytest.mark.parametrize("epsilon,iterations", [(0.12, 12), (0.02, 9), (0.0, 3)])
-def test_batch_of_all_vertices_equals_dense_walks(spark, epsilon, iterations):
-    """Includes a vertex without outgoing edges; each walk stops at its own step."""
+@pytest.mark.parametrize("epsilon,iterations,limit", [(0.12, 12, 2_000_000), (0.02, 9, 0), (0.0, 3, 2_000_000)])
+def test_batch_of_all_vertices_equals_dense_walks(spark, monkeypatch, epsilon, iterations, limit):
+    """Includes a vertex without outgoing edges; each walk stops at its own step; edges broadcast and shuffled."""
+    monkeypatch.setattr(walk, "MAX_BROADCAST_EDGES", limit)
     edges = EDGES + [(5, 6, 0.2), (7, 1, 0.5), (7, 6, 0.5)]
     edges[8] = (5, 3, 0.8)
     found, taken = walk.walk(make_graph(spark, edges), ask(spark, *range(1, 8)), epsilon, iterations)
@@ -113,6 +115,18 @@ def test_region_sets_do_not_mix(spark):
     assert found[("t", 1)] == pytest.approx(dense_walk(other, 1, 0.05, 8)[0], abs=1e-12)
 
 
+def test_recommended_places_equal_those_of_whole_vectors(spark, tables, facts):
+    resolved = materialize(requests.resolve_requests(tables.requests(), tables.persons()))
+    sets = region_sets.requested_region_sets(resolved)
+    graphs = materialize(graph.stochastic_graphs(facts[7], sets, 0.5, 0.5))
+    dense = materialize(walk.walk_recommend(graphs, resolved, 0.05, 20))
+    key = lambda df: {(r.region_set, r.person_id, r.id, r.region_id, r.name): r.probability for r in df.collect()}
+    for n in (3, 1_000):
+        expected = requests.recommended_places(dense, tables.places(), resolved, "probability", n)
+        got = walk.walk_recommended_places(graphs, resolved, tables.places(), 0.05, 20, n)
+        assert key(got) == pytest.approx(key(expected), abs=1e-12)
+
+
 def test_walks_on_a_graph_of_visits(spark, tables, facts):
     resolved = requests.resolve_requests(tables.requests(), tables.persons())
     sets = region_sets.requested_region_sets(resolved)
