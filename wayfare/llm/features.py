@@ -108,9 +108,10 @@ def fit_ftrl(
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
             z[at] += g - step * w
             n[at] += g * g
-    every = weights(np.arange(size + 1))
-    used = np.flatnonzero(every[:-1])
-    return LinearModel(bits, used.astype(np.int32), every[used].astype(np.float32), float(every[-1]))
+    seen = np.flatnonzero(n[:-1])
+    learned = weights(seen)
+    used = learned != 0
+    return LinearModel(bits, seen[used].astype(np.int32), learned[used].astype(np.float32), float(weights(bias_at)[0]))
 
 
 def linear_scores(words: Words, model: LinearModel, table: np.ndarray, streams: Callable = unigrams_and_bigrams) -> np.ndarray:

@@ -280,11 +280,17 @@ def fit(documents: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROW
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     got = sample.mapInArrow(examples, f"doc_id {kind}, target double, indices array<int>").toArrow().sort_by("doc_id")
-    lists = [np.asarray(i.values) for i in got["indices"]]
-    # Terms of one or two texts teach nothing.
-    known = np.bincount(np.concatenate(lists), minlength=1 << BITS) >= _LEAST_TEXTS if lists else None
-    vectors = [(own := i[known[i]], np.ones(len(own), np.float32)) for i in lists]
-    return fit_ftrl(vectors, got["target"].to_numpy(), BITS, alpha=1.0, l1=4.0, l2=0.01, passes=5)
+    target = got["target"].to_numpy()
+    texts = np.zeros(1 << BITS, np.int32)
+    for own in got["indices"]:
+        texts[np.asarray(own.values)] += 1
+    # Terms of one or two texts teach nothing; without them little of the sample stays in memory.
+    lists = [i[texts[i] >= _LEAST_TEXTS] for i in (np.asarray(own.values) for own in got["indices"])]
+    del got
+    pa.default_memory_pool().release_unused()
+    one = np.ones(max(map(len, lists), default=0), np.float32)
+    vectors = [(i, one[: len(i)]) for i in lists]
+    return fit_ftrl(vectors, target, BITS, alpha=1.0, l1=4.0, l2=0.01, passes=5)
 
 
 def _scores(texts: pa.Array, model: LinearModel, table: np.ndarray) -> np.ndarray:
