@@ -158,6 +158,43 @@ def test_line_dedup_equals_brute_force(make_documents):
     assert all(common in t for i, t in texts.items() if i < 40 and i % 7)
 
 
+def brute_runs(rows, run=D.RUN_WORDS):
+    """Words deleted from each document: those of lines in any run of ``run`` words that stands earlier, comparing all runs."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        own = [x.strip() for x in t.split("\n") if x.strip()]
+        gone, count = set(), [len(x.split()) for x in own]
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                if sum(count[a:b]) >= run:
+                    if tuple(own[a:b]) in seen:
+                        gone.update(range(a, b))
+                    seen.add(tuple(own[a:b]))
+        out[i] = sum(count[k] for k in gone)
+    return out
+
+
+def test_line_dedup_finds_runs_whose_first_lines_stand_elsewhere(make_documents):
+    rng = random.Random(8)
+    line = lambda n: " ".join(f"v{rng.randrange(50_000)}" for _ in range(n))
+    f, y, g, tail = line(35), line(18), line(45), line(9)
+    alone = [(1, f), (2, f"{line(30)}\n{f}\n{y}\n{line(30)}"), (3, f"{line(31)}\n{f}\n{y}\n{line(33)}")]
+    # A whole run stands first without the line that follows it in two later documents.
+    alone += [(4, g), (5, f"{g}\n{tail}"), (6, f"{g}\n{tail}\n{line(20)}"), (7, f"{line(9)}\n{f}")]
+    got = {r.doc_id: r._words_deleted for r in D.delete_repeated_lines(make_documents(alone), every_run=True).collect()}
+    assert got == {1: 0, 2: 0, 3: 53, 4: 0, 5: 45, 6: 54, 7: 0} == brute_runs(alone)
+    # Short lines in the same order, beginning and ending anywhere.
+    shared = [line(rng.choice([1, 3, 7, 12, 19, 34])) for _ in range(30)]
+    rows = []
+    for i in range(60):
+        a, b = rng.randrange(24), rng.randrange(24)
+        rows.append((i, "\n".join([line(8), *shared[a : a + rng.randrange(1, 8)], line(5), *shared[b : b + rng.randrange(1, 8)], line(8)])))
+    expected = brute_runs(rows)
+    assert {r.doc_id: r._words_deleted for r in D.delete_repeated_lines(make_documents(rows + rows[:9]), every_run=True).collect()} == expected
+    assert sum(v > 0 for v in expected.values()) > 20
+    assert sum(brute_lines(rows).values()) < sum(expected.values())
+
+
 def test_line_dedup_odd_rows(make_documents, odd_rows):
     documents = make_documents(odd_rows)
     done = D.delete_repeated_lines(documents).collect()

@@ -7,7 +7,15 @@ the grams that start in it is sure to share a fingerprint, and a long line alway
 
 Each fingerprint joins its first occurrence (smallest document, then line) only. From there
 the match is extended both ways, line by line, and if it holds ``run_words`` words, the
-later run is deleted. Every deleted line still stands at an earlier place.
+later run is deleted.
+
+A first occurrence may stand in other surroundings than a later one. So with ``every_run``,
+as the queries ask for, the shortest runs that hold ``run_words`` words, from each line on and up to each line, join their own first
+occurrences, and the later ones are deleted. A repeated run of ``run_words`` words or more
+is covered by such runs, each of which repeats: a line with too few words behind it in the
+run lies in the shortest one up to the run's end, any other in the one that begins with it.
+So a line is deleted if and only if it lies in a run of ``run_words`` words that stands
+earlier. Without ``every_run`` only fingerprints find runs. Every deleted line still stands at an earlier place.
 
 Documents are ordered by id, null last, then by a hash of the text. Lines end at "\\n" and
 compare without white space around them; blank lines count for nothing, and go when they
@@ -80,14 +88,25 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, gram_words: int = GRAM_W
     return selected
 
 
-def _fingerprint_rows(batches, gram_words: int, window_words: int):
+def shortest_runs(hashes: np.ndarray, words: np.ndarray, run_words: int = RUN_WORDS) -> list[tuple[int, int, int]]:
+    """(hash, first line, one past the last line) of the shortest runs with ``run_words`` words from and up to each line."""
+    before = np.concatenate([[0], np.cumsum(words)])
+    stops = np.searchsorted(before, before[:-1] + run_words)
+    found = {(i, int(stop)) for i, stop in enumerate(stops) if stop <= len(hashes)}
+    starts = np.searchsorted(before, before[1:] - run_words, side="right") - 1
+    found |= {(int(start), i + 1) for i, start in enumerate(starts) if start >= 0}
+    return [(xxhash.xxh3_64_intdigest(hashes[a:b].tobytes()) - 2**63, a, b) for a, b in sorted(found)]
+
+
+def _fingerprint_rows(batches, gram_words: int, window_words: int, run_words: int | None):
     for batch in batches:
-        hashes, words, found = [], [], []
+        hashes, words, found, runs = [], [], [], []
         for value in batch.column(2):
             h, w, _ = _lines(value.as_py() or "")
             hashes.append(h.view(np.int64))
             words.append(w.astype(np.int32))
             found.append([{"gram": g, "line": i} for g, i in fingerprints(h, w, gram_words, window_words)])
+            runs.append([{"run": r, "line": a, "stop": b} for r, a, b in (shortest_runs(h, w, run_words) if run_words else ())])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -95,8 +114,9 @@ def _fingerprint_rows(batches, gram_words: int, window_words: int):
                 pa.array(hashes, pa.list_(pa.int64())),
                 pa.array(words, pa.list_(pa.int32())),
                 pa.array(found, pa.list_(pa.struct([("gram", pa.int64()), ("line", pa.int32())]))),
+                pa.array(runs, pa.list_(pa.struct([("run", pa.int64()), ("line", pa.int32()), ("stop", pa.int32())]))),
             ],
-            names=["_key", "_order", "hashes", "words", "found"],
+            names=["_key", "_order", "hashes", "words", "found", "shortest"],
         )
 
 
@@ -136,14 +156,15 @@ def _keyed(documents: DataFrame) -> tuple[Column, Column]:
 
 
 def repeated_runs(
-    documents: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS, run_words: int = RUN_WORDS
+    documents: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS, run_words: int = RUN_WORDS, every_run: bool = False
 ) -> DataFrame:
     """``_key`` of a document (hash of id and text) and ``runs`` of its lines (not counting blank ones) to delete."""
     bound_batches(documents.sparkSession)
     texts = documents.select(*_keyed(documents), "text").where("text is not null")
     lined = texts.mapInArrow(
-        partial(_fingerprint_rows, gram_words=gram_words, window_words=window_words),
-        "_key long, _order long, hashes array<long>, words array<int>, found array<struct<gram:long,line:int>>",
+        partial(_fingerprint_rows, gram_words=gram_words, window_words=window_words, run_words=run_words if every_run else None),
+        "_key long, _order long, hashes array<long>, words array<int>, found array<struct<gram:long,line:int>>, "
+        "shortest array<struct<run:long,line:int,stop:int>>",
     )
     lined = materialize(lined)
     prints = lined.select("_key", "_order", F.explode("found").alias("f")).select("_key", "_order", "f.gram", "f.line").distinct()
@@ -163,7 +184,21 @@ def repeated_runs(
     sided = pairs.join(wanted.select(F.col("_key").alias("_first"), F.col("hashes").alias("first_hashes")), "_first")
     sided = sided.join(wanted, "_key").select("_key", "hashes", "words", "first_hashes", "places")
     runs = sided.mapInArrow(partial(_extended, run_words=run_words), "_key long, runs array<struct<start:int,stop:int>>")
-    return runs.where(F.size("runs") > 0).groupBy("_key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    found = runs.select("_key", F.explode("runs").alias("run")).select("_key", "run.start", "run.stop")
+    if every_run:
+        found = found.union(_later_runs(lined))
+    # A set, as equal documents send the same runs.
+    return found.groupBy("_key").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+
+
+def _later_runs(lined: DataFrame) -> DataFrame:
+    """``_key``, ``start`` and ``stop`` of the shortest runs that are not the first occurrence of their lines."""
+    shortest = lined.select("_key", "_order", F.explode("shortest").alias("s")).select("_key", "_order", "s.run", "s.line", "s.stop")
+    place = F.struct("_order", "_key", "line")
+    # Equal documents share their places, so a run that only they hold has one place.
+    firsts = shortest.groupBy("run").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    later = shortest.join(firsts.select("run", "first"), "run").where(place != F.col("first"))
+    return later.select("_key", F.col("line").alias("start"), "stop")
 
 
 def _repeated(lined: DataFrame) -> bool:
@@ -215,9 +250,9 @@ def delete_repeated_lines(documents: DataFrame, **limits) -> DataFrame:
     return joined.mapInArrow(partial(_cut_rows, names=[f.name for f in kept]), schema)
 
 
-def dedup_documents(documents: DataFrame, **limits) -> DataFrame:
+def dedup_documents(documents: DataFrame, every_run: bool = True, **limits) -> DataFrame:
     """Documents with repeated runs deleted; a document of which nothing is left goes. ``n_chars`` is counted anew."""
-    done = delete_repeated_lines(documents, **limits)
+    done = delete_repeated_lines(documents, every_run=every_run, **limits)
     kept = done.where((F.col("_lines_deleted") == 0) | (F.length(F.regexp_replace("text", r"\s+", "")) > 0))
     if "n_chars" in documents.columns:
         changed = F.when(F.col("_lines_deleted") > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -51,7 +51,7 @@ def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that stand earlier."""
-    done = line_dedup.delete_repeated_lines(read(spark, sf_dir, "documents"))
+    done = line_dedup.delete_repeated_lines(read(spark, sf_dir, "documents"), every_run=True)
     return done.select(
         "doc_id",
         F.col("_lines_deleted").alias("lines_deleted"),
