@@ -51,6 +51,33 @@ def test_disguised_spans_map_back(text, kind, found):
     assert pii.redact(text) == text.replace(found, f"<{kind.upper()}>")
 
 
+def test_pretest_lets_every_disguise_through(monkeypatch):
+    gaps = ("", " ", "  ", "\t", "\n", "\u00a0")
+    brackets = ("[]", "()", "{}", "<>")
+    ats = [f"{o}{b[0]}{i}{w}{i}{b[1]}{o}" for b in brackets for w in ("at", "AT", "arroba", "arobase", "@") for i in gaps for o in ("", " ")]
+    ats += [f"{g}{w}{g}" for w in ("at", "arroba", "Arobase", "@") for g in gaps[1:]] + ["@ ", " @", "@"]
+    dots = [f"{b[0]}{i}{w}{i}{b[1]}" for b in brackets for w in ("dot", "punkt", "PUNTO", "point", ".", "pun\u212at") for i in gaps]
+    dots += [f"{g}{w}{g}" for w in ("dot", "punkt", "punto", "point", ".") for g in gaps[1:]] + ["."]
+    texts = [f"write john.doe{at}example{dot}com soon" for at in ats for dot in dots]
+    texts += [f"host 192{dot}168{dot}10{dot}20 up" for dot in dots]
+    texts += [f"call {plus}{gap}49 30 1234567" for plus in ("plus", "Plus", "más", "plu\u017f") for gap in gaps] + ["call plus (49) 30 1234567"]
+    texts += [f"{o}{w} nine 170 123 4567{o}" for o in ('"', "/", ":", "'", "+", "+ ") for w in ("four", "vier", "FOUR", "f\u0130ve", "\u017fix", "fünf")]
+    texts += ["card:four one one one 1111 1111 1111;", "tel:+four nine,one-seven zero 123 4567!"]
+    gated = [pii.all_spans(t) for t in texts]
+    monkeypatch.setattr(pii, "_disguised", lambda text: True)
+    assert gated == [pii.all_spans(t) for t in texts]
+    for text, kind in [
+        ("call plus 49 30 1234567", "phone"),
+        ("john.doe@example . com", "email"),
+        ("john at example . com", "email"),
+        ("192 . 168 . 10 . 20", "ip"),
+        ("john[  at  ]example.com", "email"),
+        ('"+four nine 170 123 4567"', "phone"),
+    ]:
+        monkeypatch.undo()
+        assert [pii.KINDS[k] for _, _, k in pii.all_spans(text)] == [kind], text
+
+
 def test_plain_text_has_no_disguised_spans():
     for text in ("look at example.com today. at that. dot", "one of them, two of us", "at and by at the dot", "a < b (c) [d] . e"):
         assert pii.all_spans(text) == []

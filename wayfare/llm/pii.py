@@ -98,8 +98,8 @@ _DIGIT_WORDS = {
 }
 _SPELLED = {word: digit for digit, words in _DIGIT_WORDS.items() for word in words.split()}
 
-
-_SPELLED_WORDS = frozenset(_SPELLED)
+# Letters beyond ASCII that patterns without case take for ASCII ones.
+_FOLDED = {0x130: "i", 0x131: "i", 0x17F: "s", 0x212A: "k"}
 
 
 def _single_characters() -> dict[int, str]:
@@ -125,9 +125,12 @@ _DOT = rf"(?:{_DOT_SIGN.pattern}|\.)"
 _ADDRESS = re.compile(rf"(?<![A-Za-z0-9_%+-]){_PART}(?:{_DOT}{_PART}){{0,4}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{2,63}}){{1,4}}", re.IGNORECASE)
 _NUMBERED = re.compile(rf"[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
 _PLUS = re.compile(r"\b(?:plus|más)\s{1,2}(?=[0-9(])", re.IGNORECASE)
-# Any disguise of "@" or "." holds one of these, in lower case.
-_OPENING = tuple(b + w for b in ("[", "(", "{", "<") for w in ("at", " at", "arrob", " arrob", "arobas", "@", " @", "dot", " dot", "pun", " pun", "point", ".", " ."))
-_LOOSE = (" dot", "\tdot", "\ndot", " punkt", " punto", " point ", " arroba", " arobase", "@ ", " @")
+# Any match of _AT_SIGN or _DOT_SIGN holds a match of one of these, but for the plain word
+# "at", which counts only before a disguised ".".
+_BRACKETED = re.compile(r"[\[({<]\s{0,2}(?:at|arroba|arobase|@|dot|punkt|punto|point|\.)\s{0,2}[\])}>]", re.IGNORECASE)
+_APART = re.compile(r"\s(?:dot|punkt|punto|point|arroba|arobase)\s", re.IGNORECASE)
+_SPACED_AT = re.compile(r"\s@|@\s")
+_SPACED_DOT = re.compile(r"\s\.\s")
 
 
 class Rewritten:
@@ -190,23 +193,28 @@ def _plain_characters(state: Rewritten) -> None:
     state.replace([(m.start(), m.end(), _SINGLE[ord(m.group())]) for m in _SINGLE_SEARCH.finditer(state.text)])
 
 
-def _spelled_digits(state: Rewritten) -> None:
+def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     """Runs of three or more spelled digits become figures; separators between two of them go."""
     edits: list[tuple[int, int, str]] = []
-    for run in _SPELLED_RUN.finditer(state.text):
-        words = list(_SPELLED_WORD.finditer(state.text, run.start(), run.end()))
-        beside = re.search(r"[0-9]", run.group()) or re.search(r"[0-9+][ -]?\Z", state.text[max(0, run.start() - 2) : run.start()])
+    for run in _SPELLED_RUN.finditer(text):
+        words = list(_SPELLED_WORD.finditer(text, run.start(), run.end()))
+        beside = re.search(r"[0-9]", run.group()) or re.search(r"[0-9+][ -]?\Z", text[max(0, run.start() - 2) : run.start()])
         if len(words) < 3 and not beside:
             continue
         last = None
         for m in words:
-            between = state.text[last : m.start()] if last is not None else None
+            digit = _SPELLED[m.group().translate(_FOLDED).lower()]
+            between = text[last : m.start()] if last is not None else None
             if between is not None and re.fullmatch(r"[ ,-]{1,2}", between):
-                edits[-1] = (edits[-1][0], m.end(), edits[-1][2] + _SPELLED[m.group().lower()])
+                edits[-1] = (edits[-1][0], m.end(), edits[-1][2] + digit)
             else:
-                edits.append((m.start(), m.end(), _SPELLED[m.group().lower()]))
+                edits.append((m.start(), m.end(), digit))
             last = m.end()
-    state.replace(edits)
+    return edits
+
+
+def _spelled_digits(state: Rewritten) -> None:
+    state.replace(_spelled_edits(state.text))
 
 
 def _at_and_dot(state: Rewritten) -> None:
@@ -239,31 +247,15 @@ def _plus_sign(state: Rewritten) -> None:
 TRANSDUCERS = (_plain_characters, _spelled_digits, _plus_sign, _at_and_dot)
 
 
-def _spelled(words: list[str]) -> bool:
-    """Whether two spelled digits are neighbours, or one is beside a word with a figure."""
-    places = [i for i, word in enumerate(words) if word in _SPELLED]
-    for k, i in enumerate(places):
-        if k and places[k - 1] == i - 1:
-            return True
-        beside = words[max(0, i - 1) : i] + words[i + 1 : i + 2]
-        if any(c in "0123456789+" for word in beside for c in word):
-            return True
-    return False
-
-
 def _disguised(text: str) -> bool:
-    """Whether any transducer could change the text; plain substring tests, as most texts hold no disguise."""
+    """Whether any transducer could change the text: true wherever one does, as each is asked for its own signs."""
     if not text.isascii() and _SINGLE_SEARCH.search(text):
         return True
-    lower = text.lower()
-    if any(sign in lower for sign in _LOOSE):
+    if any(b in text for b in "[({<") and _BRACKETED.search(text):
         return True
-    if any(b in lower for b in "[({<") and any(sign in lower for sign in _OPENING):
+    if "@" in text and _SPACED_AT.search(text):
         return True
-    for sign in "-,.()[]":
-        lower = lower.replace(sign, " ")
-    words = lower.split()
-    return not _SPELLED_WORDS.isdisjoint(words) and _spelled(words)
+    return bool(_SPACED_DOT.search(text) or _APART.search(text) or _PLUS.search(text) or _spelled_edits(text))
 
 
 def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
