@@ -298,6 +298,38 @@ def test_scores_equal_single_predictions_and_learn_order(spark, make_documents,
     assert np.isclose(single, got[7][0].log_probability, rtol=1e-4)
 
 
+def test_tables_grow_with_the_corpus():
+    assert [language_model.table_size(n) for n in (0, 10**6, 10**8, 10**12)] == [1024, 1024, 10_000, 1_000_000]
+    vocabulary = language_model.Vocabulary(np.empty(0, np.uint64), np.empty(0, np.int32), 10_000, 312)
+    network = language_model.Network.from_flat(language_model.Network.fresh(10_000).flat(), 10_000)
+    numbers = vocabulary.encode(np.arange(5000, dtype=np.uint64))
+    assert numbers.max() == 311
+    contexts = language_model.contexts_of(numbers, np.array([0, 5000]), vocabulary.size).astype(int)
+    every = network.log_probabilities(contexts[:, [0] * 10_000], np.arange(10_000))
+    assert np.isclose(np.exp(every).sum(), 1, atol=1e-3)
+
+
+def test_words_that_share_a_number_have_their_own_probability(make_documents):
+    frequent = {f"often{i}": 9 for i in range(language_model.SIZE - language_model.SHARED)}
+    rare = {f"rare{i}": 1 + i % 4 for i in range(400)}
+    rows = [(i, w) for i, (w, n) in enumerate((frequent | rare).items()) for _ in range(n)]
+    documents = make_documents(rows)
+    vocabulary, network = language_model.fit(documents)
+    scores: dict[str, set] = {}
+    for r in language_model.score(documents, vocabulary, network).collect():
+        scores.setdefault(list(frequent | rare)[r.doc_id], set()).add(r.log_probability)
+    assert all(max(s) - min(s) < 1e-3 for s in scores.values())
+    assert np.isclose(sum(np.exp(min(s)) for s in scores.values()), 1, atol=1e-2)
+    import pyarrow as pa
+
+    _, _, _, numbers, _ = next(language_model._encoded(pa.array([" ".join(rare)]), vocabulary))
+    by_number: dict[int, list] = {}
+    for word, number in zip(rare, numbers.tolist()):
+        by_number.setdefault(number, []).append(min(scores[word]) - np.log(rare[word]))
+    assert max(by_number) < language_model.SHARED
+    assert all(np.allclose(own, own[0], atol=2e-3) for own in by_number.values())
+
+
 def test_language_model_of_nothing(make_documents):
     none = make_documents([])
     assert language_model.score(none, *language_model.fit(none)).collect() == []
