@@ -144,6 +144,19 @@ def test_templates_go_and_articles_stay(spark, most_broadcast):
     assert html_text.extract(pages.limit(0), most_broadcast=most_broadcast).collect() == []
 
 
+@pytest.mark.parametrize("most_broadcast", [1_000_000, 0])
+def test_short_elements_and_copies_are_no_templates(spark, most_broadcast):
+    page = "<body><div>Shop of Ann</div><p>{0} it is <b>{1}</b> so.</p><h2>Introduction</h2><ul><li>Yes</li><li>{0}</li></ul>{2}</body>"
+    some = "<section>Read the guide</section>"
+    rows = [(i, page.format(f"own{i}", "not" if i % 2 else "now", some if i < 10 else "")) for i in range(60)]
+    texts = {i: f"own{i} it is {'not' if i % 2 else 'now'} so.\n\nIntroduction\n\nYes\n\nown{i}" + ("\n\nRead the guide" if i < 10 else "") for i in range(60)}
+    copied = "<body><p>first part of it</p><p>second part</p><div>third part</div></body>"
+    made = [(i, f"https://large.example/{i}", h) for i, h in rows] + [(100 + i, f"https://copy.example/{i}", f"<head><title>{i}</title></head>{copied}") for i in range(12)]
+    pages = spark.createDataFrame(made, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages, most_broadcast=most_broadcast).collect()}
+    assert got == texts | {100 + i: "first part of it\n\nsecond part\n\nthird part" for i in range(12)}
+
+
 # --- benchmark ---
 
 

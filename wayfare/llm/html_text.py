@@ -1,12 +1,15 @@
 """Main text of web pages: drop what is not the article, and templates that recur on a site.
 
 Pass 1 parses each page and hashes its element subtrees (tag, class, text and children).
-Spark counts on how many pages of its host each subtree occurs. Pass 2 takes a page
-together with those of its subtrees that recur on many pages, picks the article, deletes
+Spark counts on how many pages of its host each subtree occurs; pages with the same text are
+one page there, so copies of an article make no template. A template is on ``MANY_PAGES``
+pages at least and on ``SHARE`` of its host's pages. Pass 2 takes a page together with those
+of its subtrees that recur on so many pages, picks the article, deletes
 menus, forms, adverts and the like as well as recurring subtrees, and returns the blocks.
 
 Inside an article, paragraphs and headings are text of the article even where other pages
-quote the same; only containers count as template there. A subtree that holds most of the
+quote the same; only containers count as template there. Inline elements, headings, items
+and cells go with a recurring element around them only, also where no article is marked. A subtree that holds most of the
 page's text is no template either: such pages are copies.
 
 Defined results: null or empty html gives an empty text; a null or odd url is a host of
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from wayfare.runtime import materialize
 
 MANY_PAGES = 8
+SHARE = 0.25
 MOST_BROADCAST = 1_000_000
 
 # Element names by their role in HTML.
@@ -43,6 +47,8 @@ _DROPPED = frozenset(
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th tr caption figcaption b i em strong a span code q u s small sub sup mark br".split())
+# Text that may be a template by itself where no article is marked.
+_PARAGRAPHS = frozenset(("p", "pre", "blockquote"))
 # Names of classes and ids, cut at signs, that mark other things than the article.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion cookie cookies consent gdpr "
@@ -273,7 +279,7 @@ def main_text(page: Page, templates: set[int]) -> str:
             recurring = (
                 page.hashes[i] in templates
                 and sizes[i] * 2 <= whole
-                and not (root is not None and tag in _TEXT_BLOCKS)
+                and not (tag in _TEXT_BLOCKS and (root is not None or tag not in _PARAGRAPHS))
                 and tag not in ("html", "body", "article", "main")
             )
             if recurring or _marked(page, i, root is not None):
@@ -310,7 +316,10 @@ def _pair_hash(hosts, hashes: np.ndarray) -> np.ndarray:
         return h * np.int64(0x2545F4914F6CDD1D) ^ (h >> 31)
 
 
-def extract(pages: DataFrame, many: int = MANY_PAGES, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+_PAGE = 0  # stands for the page itself among the hashes of its subtrees
+
+
+def extract(pages: DataFrame, many: int = MANY_PAGES, most_broadcast: int = MOST_BROADCAST, share: float = SHARE) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
     Recurring subtrees are sent to all tasks while they number at most ``most_broadcast``
@@ -321,17 +330,24 @@ def extract(pages: DataFrame, many: int = MANY_PAGES, most_broadcast: int = MOST
 
     def subtrees(batches):
         for batch in batches:
-            keys, hosts, hashes = [], [], []
+            keys, hosts, bodies, hashes = [], [], [], []
             for key, name, source in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                own = subtree_hashes(parse(source or ""))
+                page = parse(source or "")
+                own = [_PAGE, *subtree_hashes(page)]
                 keys += [key] * len(own)
                 hosts += [name] * len(own)
+                bodies += [_hash([main_text(page, set())])] * len(own)
                 hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hosts, pa.int64()), pa.array(hashes, pa.int64())], names=["_key", "host", "hash"])
-
-    found = keyed.select("_key", F.xxhash64(host).alias("host"), "html").mapInArrow(subtrees, "_key long, host long, hash long")
-    # Equal pages are one page here: repeated rows do not make a template.
-    counted = found.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= many)
+            columns = [pa.array(c, pa.int64()) for c in (keys, hosts, bodies, hashes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", "host", "body", "hash"])
+
+    found = keyed.select("_key", F.xxhash64(host).alias("host"), "html").mapInArrow(subtrees, "_key long, host long, body long, hash long")
+    # Pages of one text are one page here: neither repeated rows nor copies make a template.
+    once = found.select("host", "body", "hash").distinct()
+    counted = materialize(once.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= many))
+    sizes = counted.where(F.col("hash") == _PAGE).select("host", F.col("pages").alias("of"))
+    sizes = F.broadcast(sizes) if sizes.count() <= most_broadcast else sizes
+    counted = counted.where(F.col("hash") != _PAGE).join(sizes, "host").where(F.col("pages") >= F.col("of") * share)
     kind = pages.schema["page_id"].dataType.simpleString()
     names = ["page_id", "url", "text", "n_chars"]
     schema = f"page_id {kind}, url string, text string, n_chars long"
