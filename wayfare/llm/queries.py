@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import decontaminate, html_text, jaccard_join, language_model, line_dedup, mixing, neighbour_search, pii, quality, toxicity
+from wayfare.llm import decontaminate, html_text, jaccard_join, language_model, line_dedup, mixing, neighbour_search, oracles, phrases, pii, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -76,9 +76,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op11_collocations": oracles.PHRASES}

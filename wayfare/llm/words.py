@@ -117,14 +117,16 @@ def _text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, signs: bool = False, prefixes=()) -> Words:
+def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, signs: bool = False, prefixes=(), kinds: np.ndarray | None = None) -> Words:
     """Words of the texts ``data[offsets[i]:offsets[i + 1]]``.
 
     Words are runs of other bytes than white space; with ``signs``, runs of letters and
-    runs of signs are separate words. ``lower`` turns A-Z into a-z. For each length in
-    ``prefixes`` the hash of a word's first bytes is kept too.
+    runs of signs are separate words; ``kinds`` gives any other class of each byte, 0 for
+    what is between words, which holds all white space but line ends. ``lower`` turns A-Z
+    into a-z. For each length in ``prefixes`` the hash of a word's first bytes is kept too.
     """
-    kinds = CLASSES if signs else (~SPACE).astype(np.uint8)
+    if kinds is None:
+        kinds = CLASSES if signs else (~SPACE).astype(np.uint8)
     numbers = _NUMBERS[LOWER] if lower else _NUMBERS
     starts_text = np.zeros(len(data) + 1, bool)
     starts_text[offsets] = True
