@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import decontaminate, html_text, jaccard_join, language_model, line_dedup, mixing, neighbour_search, oracles, phrases, pii, quality, toxicity
+from wayfare.llm import decontaminate, html_text, jaccard_join, language_model, licenses, line_dedup, mixing, neighbour_search, oracles, phrases, pii, quality, token_alignment, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -81,6 +81,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in each document."""
+    return token_alignment.align_documents(read(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License signatures in each document."""
+    return licenses.summary(licenses.scan(read(spark, sf_dir, "documents")))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
