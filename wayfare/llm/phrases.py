@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfare.llm.bitmaps import bitmap, known
 from wayfare.llm.words import LOWER, bound_batches, chunks, combine, hash_words
 from wayfare.runtime import materialize
 
@@ -44,10 +45,6 @@ NO_LANGUAGE = "und"
 BUDGET = 500_000
 # Classes of two-word prefixes, and of each further word where a class is divided.
 _CLASSES, _FAN = 4_096, 64
-# A bitmap has 16 bits or more for each key up to this size (32 MB); with more keys it
-# lets more through, and the counts that follow stay exact.
-_MOST_BITS = 28
-_CHUNK_BITS = 15
 # Counters that a task holds before it hands them on.
 _HELD = 1 << 19
 
@@ -140,15 +137,9 @@ def _word_counts(batches):
         yield from out(held)
 
 
-def _known(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether the bitmap holds each key."""
-    cell = keys & np.uint64(len(bitmap) * 8 - 1)
-    return (bitmap[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 def _pairs_of(chunk: _Chunk, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places whose word and next word stand in one piece and are frequent, and the pairs' keys."""
-    frequent = _known(words, chunk.hashes)
+    frequent = known(words, chunk.hashes)
     at = np.flatnonzero(frequent[:-1] & frequent[1:] & chunk.follows[1:])
     return at, combine(chunk.hashes[at], chunk.hashes[at + 1])
 
@@ -197,7 +188,7 @@ def _suffixes(batches, words: np.ndarray, pairs: np.ndarray, longest: int):
         for chunk in _read(batches):
             at, keys = _pairs_of(chunk, words)
             goes_on = np.zeros(len(chunk.hashes) + longest, bool)
-            goes_on[at[_known(pairs, keys)]] = True
+            goes_on[at[known(pairs, keys)]] = True
             start = np.flatnonzero(goes_on)
             padded = np.concatenate([chunk.hashes, np.zeros(longest, np.uint64)])
             columns, alive = [padded[start]], np.ones(len(start), bool)
@@ -209,27 +200,6 @@ def _suffixes(batches, words: np.ndarray, pairs: np.ndarray, longest: int):
     yield from _stretches(parts(), _WORDS[:longest])
 
 
-def _bitmap(keys: DataFrame, count: int) -> np.ndarray:
-    """Bits of the keys ``h``, made on the executors in chunks; at most 2**_MOST_BITS bits."""
-    bits = min(max((16 * count).bit_length(), _CHUNK_BITS + 3), _MOST_BITS)
-
-    def chunk_bits(table: pa.Table) -> pa.Table:
-        marks = np.zeros(1 << _CHUNK_BITS, np.uint8)
-        marks[table["at"].to_numpy()] = 1
-        return pa.table({"chunk": table["chunk"][:1], "bits": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())})
-
-    cell = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
-    cells = keys.select(
-        F.shiftright(cell, _CHUNK_BITS).cast("int").alias("chunk"),
-        cell.bitwiseAND(F.lit((1 << _CHUNK_BITS) - 1)).cast("int").alias("at"),
-    ).distinct()
-    size = 1 << (_CHUNK_BITS - 3)
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    for row in cells.groupBy("chunk").applyInArrow(chunk_bits, "chunk int, bits binary").toLocalIterator():
-        out[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
 def _partitioned(leaves: DataFrame, longest: int, budget: int) -> DataFrame:
     """Give each leaf the group and the depth of its class of prefixes.
 
@@ -342,10 +312,10 @@ class PhraseCounts:
         stored = materialize(counted.where(F.col("h").isNull() | (F.col("n") >= self.least)))
         self.totals = stored.where("h is null").select("lang", F.col("n").alias("total"))
         self.words = stored.where("h is not null")
-        words = _bitmap(self.words, self.words.count())
+        words = bitmap(self.words, self.words.count())
         pairs = texts.mapInArrow(partial(_pair_counts, words=words), "h long, n long")
         pairs = materialize(pairs.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= self.least))
-        pair_bits = _bitmap(pairs, pairs.count())
+        pair_bits = bitmap(pairs, pairs.count())
         names = _WORDS[:longest]
         schema = ", ".join(f"{w} long" for w in names) + ", n long"
         ends = texts.mapInArrow(partial(_suffixes, words=words, pairs=pair_bits, longest=longest), schema)
