@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfare.llm.bitmaps import bitmap, known
 from wayfare.llm.components import connected_components
 from wayfare.llm.words import bound_batches, mix, word_chunks
 from wayfare.runtime import materialize
@@ -303,15 +304,22 @@ class JaccardJoin:
         return materialize(pairs if earlier is None else pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti").select("a", "na", "b", "nb"))
 
     def _sets_of(self, ids: DataFrame) -> DataFrame:
-        """The sets of some documents: id, set as bytes."""
+        """The sets of some documents, and of a few more: id, set as bytes.
+
+        Texts stay where they are read. A bitmap of the ids goes to them, and only sets that
+        pass it are written.
+        """
+        wanted = materialize(ids)
+        spark, words = ids.sparkSession, self.words
+        marks = spark.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64("id").alias("h")), wanted.count(), bits_per_key=64))
 
         def run(batches):
             for batch in batches:
-                made = [own.astype("<u8").tobytes() for own in _sets(batch.column(1), words)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", "set"])
+                passed = pa.array(np.flatnonzero(known(marks.value, batch.column(2).to_numpy().view(np.uint64))))
+                made = [own.astype("<u8").tobytes() for own in _sets(batch.column(1).take(passed), words)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(passed), pa.array(made, pa.binary())], names=["id", "set"])
 
-        words = self.words
-        texts = self.documents.join(ids.select(F.col("id").alias("doc_id")), "doc_id")
+        texts = self.documents.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
         return materialize(texts.mapInArrow(run, "id long, set binary"))
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
