@@ -7,6 +7,7 @@ set is counted from its own visits, and walks run densely over all vertices.
 from __future__ import annotations
 
 from wayfare.plans import report as R
+from wayfare.sources.driver_tables import FIRST_PERSON_ID as FIRST_PERSON
 
 _BASE = {
     "ev": "select event_id, user_id, ts, cast(json_extract(props, '$.k') as bigint) k from events",
@@ -204,6 +205,7 @@ def all_oracles() -> dict[str, str]:
         (row_number() over (partition by person_id order by {e}) - 1)::integer "position",
         {e}::integer "index", rating::double "value" from rated"""
     one_set = f"region_set = '{R.STORED_REGION_SET}'"
+    rebuilt = f"list_contains(string_split(region_set, '_'), 'region{R.REBUILT_REGION}')"
     sql = {
         "scan_persons": ("select id, home_region_id from persons",),
         "scan_places": (
@@ -229,6 +231,26 @@ def all_oracles() -> dict[str, str]:
             where {one_set}""",
             {"rated": _rated("pv_sets", "place_id", R.MAX_RATED_PLACES, keys="region_set, ")},
         ),
+        "scan_factored_graphs": (
+            "select region_set, source_id, target_id, round(balanced_weight, 6) balanced_weight from graph",
+            {"graph": _graph("pv_sets")},
+        ),
+        "scan_rebuilt_graphs": (
+            f"""select region_set, source_id, target_id, round(balanced_weight * case when {rebuilt} then case
+            when source_id < {FIRST_PERSON} then 1 when target_id in (select category_id from categories)
+            then {1 - R.REBUILT_PERSON_PLACE}::double / 0.5 else {R.REBUILT_PERSON_PLACE}::double / 0.5 end else 1 end + 1.37e-10, 6)
+            balanced_weight from graph""",
+            {"graph": _graph("pv_sets")},
+        ),
+        "scan_rebuilt_category_ratings": (
+            f"""select region_set, person_id, category_id::integer "index", rating::double "value" from tight
+            where {rebuilt} union all select region_set, person_id, category_id::integer, rating::double from rated
+            where not {rebuilt}""",
+            {
+                "rated": _rated("pv_sets", "category_id", R.MAX_RATED_CATEGORIES, keys="region_set, "),
+                "tight": _rated("pv_sets", "category_id", R.TIGHT_TOP_CATEGORIES, keys="region_set, "),
+            },
+        ),
         "recent_visits": (f"""select event_id, person_id, {_text('"timestamp"')} "timestamp" from recent""",),
         "place_visits_last_week": (
             f"""select person_id, {_text('"timestamp"')} "timestamp", place_id, region_id, category_id from pv""",
@@ -359,6 +381,10 @@ def all_oracles() -> dict[str, str]:
             "select region_set, target_id, person_id, round(similarity, 6) similarity from nearest",
             _neighbours(),
         ),
+        "similar_persons_by_bounds": (
+            "select region_set, target_id, person_id, round(similarity, 6) similarity from nearest",
+            _neighbours(),
+        ),
         "similar_persons_large_k": (
             "select region_set, target_id, person_id, round(similarity, 6) similarity from sims",
             _neighbours(),

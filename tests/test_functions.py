@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.runtime import materialize
 from wayfare.functions import geo, ranking, skew, text, times
 
 
@@ -138,13 +139,30 @@ def test_top_k_is_the_same_for_small_and_large_k(spark, monkeypatch):
         for g in {r[0] for r in rows}:
             expected += sorted((r for r in rows if r[0] == g), key=lambda r: (-round(r[2], 9), r[1]))[:k]
         small = ranking.top_k(df, ["g"], "score", "id", k)
-        with monkeypatch.context() as patch:
-            patch.setattr(ranking, "SMALL_K", 0)
-            large = ranking.top_k(df, ["g"], "score", "id", k)
-        for got in (small, large):
+        found = [small]
+        for at_once, brackets, broadcast in ((50_000, 1_024, 500_000), (5, 4, 500_000), (30, 64, 0))[:: 2 if k != 60 else 1]:
+            with monkeypatch.context() as patch:
+                patch.setattr(ranking, "SMALL_K", 0)
+                patch.setattr(ranking, "_SORTED_AT_ONCE", at_once)
+                patch.setattr(ranking, "_BRACKETS", brackets)
+                patch.setattr(ranking, "_MOST_BROADCAST", broadcast)
+                found.append(ranking.top_k(df, ["g"], "score", "id", k))
+        for got in found:
             assert sorted(tuple(r) for r in got.select("g", "id", "score").collect()) == sorted(expected)
 
 
+def test_large_k_takes_two_passes(spark, monkeypatch):
+    """One pass over all rows, one over those in the bracket of the k-th key."""
+    df = spark.range(300_000).select(F.lit(1).alias("g"), "id", F.rand(3).alias("score"))
+    df = ranking.materialize(df)
+    written = []
+    monkeypatch.setattr(ranking, "materialize", lambda d: written.append(d.count()) or materialize(d))
+    got = ranking.top_k(df, ["g"], "score", "id", 100_000)
+    least = got.agg(F.min("score")).first()[0]
+    assert got.count() == 100_000 == df.where(F.col("score") >= least).count()
+    assert written[0] == 300_000 and max(written[1:]) < 1_000
+
+
 @pytest.mark.parametrize("k", [1_000, 1_001])
 def test_top_k_around_the_switch(spark, k):
     """Scores above 1, negative ids and scores, nulls: the limit of the window changes nothing."""

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.functions.times import within_days
-from wayfare.operators import covisits, edges, graph, ratings, region_sets
+from wayfare.operators import factored_graph, covisits, edges, graph, ratings, region_sets
 from wayfare.sources.tables import region_set_key
 
 PAIR = ["place_id", "region_id", "that_place_id", "that_region_id", "visit_pairs"]
@@ -125,7 +125,7 @@ def test_graphs_of_all_sets_equal_the_graph_of_each_slice(tables, facts, days, m
     for name in ("PLACES_PER_PERSON", "CATEGORIES_PER_PERSON", "PLACES_PER_CATEGORY"):
         monkeypatch.setattr(edges, f"TOP_{name}", 3)
     monkeypatch.setattr(edges, "TOP_SIMILAR_PLACES", 4)
-    monkeypatch.setattr(edges.place_similar_place_edges, "__defaults__", (7, 4, None))
+    monkeypatch.setattr(edges.place_similar_place_edges, "__defaults__", (7, 4))
     for function in ("person_likes_place", "person_likes_category", "category_selected_place"):
         monkeypatch.setattr(getattr(edges, f"{function}_edges"), "__defaults__", (3,))
     sets = region_sets.all_region_sets(tables.places())
@@ -136,6 +136,17 @@ def test_graphs_of_all_sets_equal_the_graph_of_each_slice(tables, facts, days, m
         alone = graph.stochastic_graph(facts[days].where(F.col("region_id").isin(regions)), 0.3, 0.7)
         expected = rows(alone, F.lit(key), "source_id", "target_id", F.round("balanced_weight", 12))
         assert [r for r in together if r[0] == key] == expected
+    # The same from factors, each count once however many sets there are.
+    factored = factored_graph.factored_graph(facts[days], sets)
+    derived = factored_graph.derived_graphs(factored, sets, 0.3, 0.7)
+    assert rows(derived, "region_set", "source_id", "target_id", F.round("balanced_weight", 12)) == together
+    some = sets.where(F.col("region_set").isin("region1", "region0_region2"))
+    derived = factored_graph.derived_graphs(factored, some, 0.3, 0.7)
+    assert rows(derived, "region_set", "source_id", "target_id", F.round("balanced_weight", 12)) == [
+        r for r in together if r[0] in ("region1", "region0_region2")
+    ]
+    key = ["kind", "region_id", "that_region_id", "source_id", "target_id"]
+    assert factored.counts.count() == factored.counts.select(*key).distinct().count()
 
 
 def test_only_requested_sets_are_built(spark, tables, facts):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,104 @@ def test_one_region_set_reads_one_folder(spark, data_dir):
     assert vectors.count() > 0
 
 
+@pytest.fixture()
+def some_sets(spark, tmp_path):
+    root = str(tmp_path)
+    S.write_region_sets(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "c")], "id long, region_set string"), root, "t")
+    return root
+
+
+def stored(spark, root):
+    return rows(S.load_region_sets(spark, root, "t").select("id", "region_set"))
+
+
+def test_replaced_sets_leave_the_others_alone(spark, some_sets):
+    kept = S._file_names(spark, f"{some_sets}/t/region_set=a")
+    new = spark.createDataFrame([("b", 7), ("d", 8)], "region_set string, id long")
+    # c is to be replaced and has no rows any more; e never had any.
+    S.replace_region_sets(new, some_sets, "t", ["b", "c", "d", "e"])
+    assert stored(spark, some_sets) == [(1, "a"), (7, "b"), (8, "d")]
+    assert S.stored_region_sets(spark, some_sets, "t") == ["a", "b", "d"]
+    assert S._file_names(spark, f"{some_sets}/t/region_set=a") == kept
+
+
+def test_replacing_twice_ends_the_same(spark, some_sets):
+    new = spark.createDataFrame([(7, "b")], "id long, region_set string")
+    for _ in range(2):
+        S.replace_region_sets(new, some_sets, "t", ["b"])
+    assert stored(spark, some_sets) == [(1, "a"), (3, "c"), (4, "c"), (7, "b")]
+
+
+def test_rows_of_other_sets_raise_before_anything_goes(spark, some_sets):
+    for wrong in ("a", None):
+        new = spark.createDataFrame([(7, "b"), (8, wrong)], "id long, region_set string")
+        with pytest.raises(Exception, match="not a set to replace"):
+            S.replace_region_sets(new, some_sets, "t", ["b"])
+    assert stored(spark, some_sets) == [(1, "a"), (2, "b"), (3, "c"), (4, "c")]
+
+
+def test_a_new_table_and_an_empty_list_of_sets(spark, some_sets):
+    S.replace_region_sets(spark.createDataFrame([(1, "x")], "id long, region_set string"), some_sets, "new", ["x"])
+    assert S.stored_region_sets(spark, some_sets, "new") == ["x"]
+    S.replace_region_sets(spark.createDataFrame([], "id long, region_set string"), some_sets, "t", [])
+    assert len(stored(spark, some_sets)) == 4
+
+
+def test_one_region_is_built_anew(spark, data_dir, tmp_path):
+    """Only sets with the region change; what they hold equals a build of everything."""
+    root = str(tmp_path / "copy")
+    shutil.copytree(data_dir, root)
+    names = (S.GRAPH_TABLE, S.PLACE_RATINGS_TABLE, S.CATEGORY_RATINGS_TABLE, S.CATEGORY_RATING_VECTORS_TABLE)
+    old = {n: rows(S.load_region_sets(spark, root, n)) for n in names}
+    jobs.build_stochastic_graphs(spark, root, 0.2, 0.8, regions=[2])
+    jobs.build_ratings(spark, root, 3, 2, regions=[2])
+    new = {n: rows(S.load_region_sets(spark, root, n)) for n in names}
+    jobs.build_stochastic_graphs(spark, root, 0.2, 0.8)
+    jobs.build_ratings(spark, root, 3, 2)
+    for n in names:
+        whole = rows(S.load_region_sets(spark, root, n))
+        touched = lambda r: "region2" in r[-1].split("_")
+        assert [r for r in new[n] if touched(r)] == [r for r in whole if touched(r)]
+        assert [r for r in new[n] if not touched(r)] == [r for r in old[n] if not touched(r)]
+        assert any(map(touched, whole)) and not all(map(touched, whole))
+
+
+def test_lookups_read_few_rows(spark, tmp_path):
+    """Of a set's million edges, a lookup of three persons reads their pages only."""
+    root = str(tmp_path)
+    edges = spark.range(1_000_000).select((F.col("id") % 20_011).alias("source_id"), (F.col("id") % 7 + 50_000).alias("target_id"), F.lit(0.5).alias("balanced_weight"))
+    S.write_region_sets(edges.withColumn("region_set", F.lit("region1")), root, S.GRAPH_TABLE)
+    stored = jobs.load_graph(spark, root, "region1")
+    found = S.rows_with_ids(stored, ("source_id",), [5, 11_000, 999_999])
+    assert found.count() == 100
+    plan = found.select("source_id")._jdf.queryExecution().executedPlan()
+    assert "EqualTo(source_id,5)" in plan.toString()
+    assert rows_read(found.select("source_id")) < 200_000
+    assert rows_read(S.rows_with_ids(stored, ("target_id",), [49_999]).select("target_id")) == 0
+
+
+def rows_read(df):
+    """Rows that the scan of a table hands on."""
+    df = df.coalesce(1)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    if leaves.apply(0).nodeName().startswith("AdaptiveSparkPlan"):
+        leaves = plan.executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_factored_graphs_serve_the_same(spark, data_dir):
+    jobs.build_factored_graphs(spark, data_dir)
+    asked = ask(spark, (100_000, None), (100_001, 2), (999_999, None))
+    whole, rejected = jobs.recommend_by_walk(spark, data_dir, asked, 0.05, 20, 5)
+    derived, also = jobs.recommend_by_walk(spark, data_dir, asked, 0.05, 20, 5, betas=(0.5, 0.5))
+    columns = ["person_id", "region_id", "id", F.round("probability", 10)]
+    assert rows(derived.select(*columns)) == rows(whole.select(*columns)) and rows(also) == rows(rejected)
+    read = S.load_graph_counts(spark, data_dir, [1])
+    assert {(r.region_id, r.that_region_id) for r in read.collect()} == {(1, 1)}
+
+
 def ask(spark, *found):
     return spark.createDataFrame(list(found), "person_id long, region_id long")
 

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.runtime import materialize
 
-# Up to this k a window keeps k rows of a group in each task; above it, digits are counted.
+# Up to this k a window keeps k rows of a group in each task; above it, brackets are counted.
 # Both ways compare by the same rules and return the same rows.
 SMALL_K = 1_000
 _SCORE_STEPS = 1_000_000_000
 _OFF_BOUNDARY = 0.137
 _MOST = 9.2e9
 _LOWEST = -(2**63)
-_DIGIT_BITS = 16
 
 
 def comparable(score: Column) -> Column:
@@ -64,6 +64,27 @@ def top_n_with_ties(df: DataFrame, by: Sequence[str], value: str, n: int, total:
     return df.join(cut, list(by)).where(F.col(value) >= F.col("_lowest")).drop("_lowest")
 
 
+def cuts_in_sets(
+    df: DataFrame,
+    sets: DataFrame | None,
+    members: Sequence[str],
+    by: Sequence[str],
+    value: str,
+    n: int,
+    total: str | None = None,
+) -> DataFrame:
+    """``(region_set, *by, _lowest[, total])``: the least value that a group keeps in each set.
+
+    Without ``sets`` the rows have their ``region_set`` themselves, as the only member.
+    """
+    if n <= 0:
+        raise ValueError(f"n must be positive: {n}")
+    per_set = df.groupBy(*by, *members, value).agg(F.count(F.lit(1)).alias("_ties"))
+    if sets is not None:
+        per_set = per_set.join(sets, list(members)).groupBy("region_set", *by, value).agg(F.sum("_ties").alias("_ties"))
+    return _cuts(per_set, ["region_set", *by], value, n, total)
+
+
 def top_n_in_sets(
     df: DataFrame,
     sets: DataFrame,
@@ -79,13 +100,7 @@ def top_n_in_sets(
     histograms are copied and added up per set; a row then joins the cuts of the sets that
     it belongs to, and leaves the join for those alone where it is kept.
     """
-    if n <= 0:
-        raise ValueError(f"n must be positive: {n}")
-    histogram = df.groupBy(*by, *members, value).agg(F.count(F.lit(1)).alias("_ties"))
-    per_set = (
-        histogram.join(sets, list(members)).groupBy("region_set", *by, value).agg(F.sum("_ties").alias("_ties"))
-    )
-    cut = _cuts(per_set, ["region_set", *by], value, n, total)
+    cut = cuts_in_sets(df, sets, members, by, value, n, total)
     return (
         df.join(cut.join(sets, "region_set"), [*by, *members])
         .where(F.col(value) >= F.col("_lowest"))
@@ -105,58 +120,80 @@ def top_k(df: DataFrame, by: Sequence[str], score: str, tie: str, k: int) -> Dat
         # Each task keeps at most k rows of a group before the shuffle (WindowGroupLimit).
         order = Window.partitionBy(*by).orderBy(comparable(F.col(score)).desc_nulls_last(), F.col(tie).asc_nulls_first())
         return df.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= k).drop("_row")
-    return _top_k_by_digits(df, by, score, tie, k)
+    return _top_k_by_brackets(df, by, score, tie, k)
+
 
+# Brackets per pass, and rows of a group in one of them that a task may sort.
+_BRACKETS = 1_024
+_SORTED_AT_ONCE = 50_000
+# Groups whose brackets are broadcast, at about 100 bytes.
+_MOST_BROADCAST = 500_000
+_EXACT_DIFFERENCE = float(2**52)
 
-def _digits(number: Column) -> list[Column]:
-    """The 16-bit digits of a long, high first, in the order of its signed values."""
-    shifted = number.bitwiseXOR(F.lit(_LOWEST))
-    places = range(64 - _DIGIT_BITS, -1, -_DIGIT_BITS)
-    return [F.shiftrightunsigned(shifted, place).bitwiseAND((1 << _DIGIT_BITS) - 1) for place in places]
 
+def _bracket(value: Column, low: Column, high: Column) -> Column:
+    """Number of a value's bracket between ``low`` and ``high``; never falls as the value rises.
 
-def _composed(digits: Sequence[str]) -> Column:
-    number = F.lit(0).cast("long")
-    for digit in digits:
-        number = F.shiftleft(number, _DIGIT_BITS).bitwiseOR(F.col(digit))
-    return number.bitwiseXOR(F.lit(_LOWEST))
+    Differences that a double cannot hold are taken between doubles: that may put
+    neighbouring values into one bracket, and the next pass has them closer together.
+    """
+    far = high.cast("double") - low.cast("double")
+    near = far < _EXACT_DIFFERENCE
+    part = F.when(near, (value - low).cast("double")).otherwise(value.cast("double") - low.cast("double"))
+    whole = F.when(near, (high - low).cast("double") + 1.0).otherwise(far)
+    return F.least(F.floor(part / whole * _BRACKETS), F.lit(_BRACKETS - 1)).cast("int")
 
 
-def _top_k_by_digits(df: DataFrame, by: Sequence[str], score: str, tie: str, k: int) -> DataFrame:
-    """Top-k for a large k: find each group's k-th key digit by digit, then filter.
+def _top_k_by_brackets(df: DataFrame, by: Sequence[str], score: str, tie: str, k: int) -> DataFrame:
+    """Top-k for a large k: bracket each group's k-th key, then look inside the bracket only.
 
     The key is (score descending, tie ascending) as two longs that keep the order of all
-    values, negative ones included. Each pass counts one digit of the rows that share the
-    digits found so far, at most 65,536 rows per group. Nothing is ever sorted by group;
-    only rows that equal the k-th key in both parts are numbered.
+    values, negative ones included. A pass counts a group's rows in brackets between its
+    least and greatest key, which adds up in every task first. Rows before the bracket of
+    the k-th key are kept, rows after it are not; only those inside go on, as a rule a
+    thousandth, and are sorted. Where very many share a bracket, such as equal scores, it is
+    bracketed once more, by the tie where the scores are all equal.
     """
     # Descending scores are ascending complements; null, the lowest score, comes last.
     down = F.coalesce(comparable(F.col(score)), F.lit(_LOWEST)).bitwiseXOR(F.lit(-1))
     up = F.coalesce(F.col(tie).cast("long"), F.lit(_LOWEST))
-    keyed = materialize(df.withColumn("_score_key", down).withColumn("_tie_key", up))
-    digits = _digits(F.col("_score_key")) + _digits(F.col("_tie_key"))
-    names = [f"_d{i}" for i in range(len(digits))]
-    rows = keyed.select(*by, *[d.alias(name) for d, name in zip(digits, names)])
-
-    up_to = Window.partitionBy(*by)
-    found = rows.groupBy(*by).agg(F.lit(k).cast("long").alias("_need"), F.count(F.lit(1)).alias("_size"))
-    found = materialize(found.where(F.col("_size") > k).drop("_size"))
-    for i, name in enumerate(names):
-        prefix = list(by) + names[:i]
-        counts = rows.join(found, prefix).groupBy(*prefix, "_need", name).agg(F.count(F.lit(1)).alias("_n"))
-        running = F.sum("_n").over(up_to.orderBy(name).rowsBetween(Window.unboundedPreceding, 0))
-        found = (
-            counts.withColumn("_running", running)
-            .where((F.col("_running") >= F.col("_need")) & (F.col("_running") - F.col("_n") < F.col("_need")))
-            .select(*prefix, name, (F.col("_need") - F.col("_running") + F.col("_n")).alias("_need"))
-        )
+    keys = list(by)
+    rows = materialize(df.withColumn("_score_key", down).withColumn("_tie_key", up))
+    ends = [f(c).alias(f"{name}{c}") for name, f in (("_low", F.min), ("_high", F.max)) for c in ("_score_key", "_tie_key")]
+    need, kept = None, []
+    while True:
+        # Groups that need fewer rows than they have, with the range of their keys.
+        found = rows.groupBy(*keys).agg(*ends, F.count(F.lit(1)).alias("_size"))
+        if need is None:
+            found = found.withColumn("_need", F.lit(k).cast("long"))
+        else:
+            found = found.join(need, keys)
         found = materialize(found)
-
-    half = len(names) // 2
-    cut = found.select(*by, _composed(names[:half]).alias("_cut_score"), _composed(names[half:]).alias("_cut_tie"), "_need")
-    key, at = F.struct("_score_key", "_tie_key"), F.struct("_cut_score", "_cut_tie")
-    sided = keyed.join(cut, list(by), "left")
-    before = sided.where(F.col("_need").isNull() | (key < at))
-    equal = sided.where(F.col("_need").isNotNull() & (key == at))
-    equal = equal.withColumn("_row", F.row_number().over(up_to.orderBy("_tie_key"))).where(F.col("_row") <= F.col("_need")).drop("_row")
-    return before.unionByName(equal).drop("_score_key", "_tie_key", "_cut_score", "_cut_tie", "_need")
+        small = F.broadcast if found.count() <= _MOST_BROADCAST else (lambda t: t)
+        tagged = rows.join(small(found), keys)
+        names = [c for c in rows.columns]
+        kept.append(tagged.where(F.col("_size") <= F.col("_need")).select(*names))
+        # Rows that are equal in both keys need no order.
+        equal = (F.col("_low_score_key") == F.col("_high_score_key")) & (F.col("_low_tie_key") == F.col("_high_tie_key"))
+        sorted_now = (F.col("_size") <= _SORTED_AT_ONCE) | equal
+        few = tagged.where((F.col("_size") > F.col("_need")) & sorted_now)
+        order = Window.partitionBy(*keys).orderBy("_score_key", "_tie_key")
+        few = few.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= F.col("_need"))
+        kept.append(few.select(*names))
+        many = (F.col("_size") > F.col("_need")) & ~sorted_now
+        if found.where(many).isEmpty():
+            break
+        by_score = F.col("_low_score_key") < F.col("_high_score_key")
+        at = F.when(by_score, _bracket(F.col("_score_key"), F.col("_low_score_key"), F.col("_high_score_key")))
+        at = at.otherwise(_bracket(F.col("_tie_key"), F.col("_low_tie_key"), F.col("_high_tie_key")))
+        placed = tagged.where(many).withColumn("_bracket", at)
+        counts = placed.groupBy(*keys, "_need", "_bracket").agg(F.count(F.lit(1)).alias("_n"))
+        running = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bracket").rowsBetween(Window.unboundedPreceding, 0))
+        ahead = F.col("_running") - F.col("_n")
+        cut = counts.withColumn("_running", running).where((F.col("_running") >= F.col("_need")) & (ahead < F.col("_need")))
+        cut = materialize(cut.select(*keys, F.col("_bracket").alias("_cut"), (F.col("_need") - ahead).alias("_left")))
+        sided = placed.join(small(cut), keys)
+        kept.append(sided.where(F.col("_bracket") < F.col("_cut")).select(*names))
+        rows = materialize(sided.where(F.col("_bracket") == F.col("_cut")).select(*names))
+        need = cut.select(*keys, F.col("_left").alias("_need"))
+    return reduce(DataFrame.unionByName, kept).drop("_score_key", "_tie_key")

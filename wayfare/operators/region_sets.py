@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,17 @@ def requested_region_sets(requests: DataFrame) -> DataFrame:
     return _members(pairs.distinct())
 
 
+def region_sets_with(region_sets: DataFrame, regions: Sequence[int]) -> DataFrame:
+    """Those sets that hold one of the given regions, with all their regions."""
+    held = region_sets.where(F.col("region_id").isin(list(regions))) if regions else region_sets.where("false")
+    return region_sets.join(held.select("region_set").distinct(), "region_set", "left_semi")
+
+
+def facts_of(facts: DataFrame, region_sets: DataFrame) -> DataFrame:
+    """Rows whose region is in one of the sets."""
+    return facts.join(region_sets.select("region_id").distinct(), "region_id", "left_semi")
+
+
 def _members(sets: DataFrame) -> DataFrame:
     return sets.select(
         region_set_key(F.col("regions")).alias("region_set"),

@@ -5,14 +5,14 @@ Scores are rounded and timestamps are text, so that two engines can agree on eac
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.operators import covisits, dedup, edges, graph, neighbours, place_visits, profiles, ratings, region_sets, requests, walk
-from wayfare.runtime import checkpoint_dir, materialize, use_utc
+from wayfare.operators import covisits, dedup, edges, factored_graph, graph, neighbours, place_visits, profiles, ratings, region_sets, requests, walk
+from wayfare.operators.bounded_neighbours import BoundedNeighbours
+from wayfare.runtime import materialize, new_folder, use_utc
 from wayfare.sources import schemas, tables
 from wayfare.sources.driver_tables import DriverTables
 
@@ -36,6 +36,7 @@ HEAVY_PLACES, HEAVY_VISITS = 4, 6
 FIXED_STEPS = 3
 OFF_BOUNDARY = 1.37e-10
 STORED_REGION_SET = "region0_region1"
+REBUILT_REGION, REBUILT_PERSON_PLACE = 1, 0.3
 
 Query = Callable[[DriverTables], DataFrame]
 _queries: dict[str, Query] = {}
@@ -89,7 +90,7 @@ def region_ratings(t: DriverTables, sets: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def _new_folder(t: DriverTables) -> str:
-    return f"{checkpoint_dir(t.spark)}/tables-{uuid.uuid4().hex}"
+    return new_folder(t.spark, "tables")
 
 
 @_report
@@ -159,6 +160,61 @@ def scan_region_set_ratings(t: DriverTables) -> DataFrame:
     return entries.select("region_set", "person_id", "index", "value")
 
 
+@_report
+def scan_factored_graphs(t: DriverTables) -> DataFrame:
+    """All graphs stored in factors, then derived from them for all sets."""
+    path = _new_folder(t)
+    sets = region_sets.all_region_sets(t.places())
+    factored = factored_graph.factored_graph(visits_of(t), sets)
+    tables.write_graph_counts(factored.counts, path)
+    tables.write_region_sets(factored.cuts, path, tables.GRAPH_CUTS_TABLE)
+    cuts = tables.load_region_sets(t.spark, path, tables.GRAPH_CUTS_TABLE, schemas.GRAPH_CUTS)
+    read = factored_graph.FactoredGraph(tables.load_graph_counts(t.spark, path), cuts)
+    edges = factored_graph.derived_graphs(read, sets, BETA_PERSON_PLACE, BETA_PERSON_CATEGORY)
+    return edges.select("region_set", "source_id", "target_id", _rounded("balanced_weight"))
+
+
+@_report
+def scan_rebuilt_graphs(t: DriverTables) -> DataFrame:
+    """All graphs stored, those with one region built anew with other weights, all read back."""
+    path = _new_folder(t)
+    sets, facts = region_sets.all_region_sets(t.places()), materialize(visits_of(t))
+    stored = graph.stochastic_graphs(facts, sets, BETA_PERSON_PLACE, BETA_PERSON_CATEGORY)
+    tables.write_region_sets(stored, path, tables.GRAPH_TABLE)
+    again = materialize(region_sets.region_sets_with(sets, [REBUILT_REGION]))
+    rebuilt = graph.stochastic_graphs(region_sets.facts_of(facts, again), again, REBUILT_PERSON_PLACE, 1 - REBUILT_PERSON_PLACE)
+    names = [r.region_set for r in again.select("region_set").distinct().collect()]
+    tables.replace_region_sets(rebuilt, path, tables.GRAPH_TABLE, names)
+    read = tables.load_region_sets(t.spark, path, tables.GRAPH_TABLE, schemas.GRAPH)
+    return read.select("region_set", "source_id", "target_id", _sum_rounded("balanced_weight"))
+
+
+@_report
+def scan_rebuilt_category_ratings(t: DriverTables) -> DataFrame:
+    """Category ratings and vectors of all sets stored, one region's sets built anew with a tighter cut, all vectors read back."""
+    path = _new_folder(t)
+    sets = region_sets.all_region_sets(t.places())
+    counts = materialize(ratings.visit_counts(visits_of(t)))
+    again = materialize(region_sets.region_sets_with(sets, [REBUILT_REGION]))
+    names = [r.region_set for r in again.select("region_set").distinct().collect()]
+    for number, of, top in ((0, sets, MAX_RATED_CATEGORIES), (1, again, TIGHT_TOP_CATEGORIES)):
+        rated = ratings.region_category_ratings(counts, of, top)
+        if number:
+            tables.replace_region_sets(rated, path, tables.CATEGORY_RATINGS_TABLE, names)
+        else:
+            tables.write_region_sets(rated, path, tables.CATEGORY_RATINGS_TABLE)
+        asked = names if number else None
+        stored = tables.load_region_sets(t.spark, path, tables.CATEGORY_RATINGS_TABLE, schemas.ratings("category_id"), asked)
+        vectors = ratings.rating_vectors(stored, "category_id", keys=["region_set"])
+        if number:
+            tables.replace_region_sets(vectors, path, tables.CATEGORY_RATING_VECTORS_TABLE, names)
+        else:
+            tables.write_region_sets(vectors, path, tables.CATEGORY_RATING_VECTORS_TABLE)
+    read = tables.load_region_sets(t.spark, path, tables.CATEGORY_RATING_VECTORS_TABLE)
+    entries = read.select("region_set", "person_id", F.inline("rating_vector"))
+    return entries.select("region_set", "person_id", "index", "value")
+
+
 # --- visits -----------------------------------------------------------------------
 
 
@@ -452,6 +508,17 @@ def similar_persons(t: DriverTables) -> DataFrame:
     return found.select("region_set", "target_id", "person_id", _rounded("similarity"))
 
 
+@_report
+def similar_persons_by_bounds(t: DriverTables) -> DataFrame:
+    """As ``similar_persons``, by bounds whatever the size."""
+    asked = resolved(t)
+    places, categories = region_ratings(t, region_sets.requested_region_sets(asked))
+    ratings_of_all = neighbours.long_form(places, categories)
+    weights = {"place": PLACE_WEIGHT, "category": CATEGORY_WEIGHT}
+    found = BoundedNeighbours(ratings_of_all, asked, weights, K_NEAREST).nearest()
+    return found.select("region_set", "target_id", "person_id", _rounded("similarity"))
+
+
 @_report
 def cosine_pairs(t: DriverTables) -> DataFrame:
     """Place and category cosine of every two persons of a region set that share an entity."""

@@ -46,18 +46,32 @@ def materialize(df: DataFrame) -> DataFrame:
     ``release`` deletes what was written.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/wayfare-{uuid.uuid4().hex}"
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = new_folder(spark, "wayfare")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for tables in the shared folder, which ``release`` deletes."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def hadoop_path(spark: SparkSession, name: str):
+    """Path and file system of a folder in any store that Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, name: str) -> None:
+    path, system = hadoop_path(spark, name)
+    system.delete(path, True)
+
+
 def release(spark: SparkSession) -> int:
-    """Delete the tables that ``materialize`` wrote in this session; DataFrames over them are then invalid."""
-    jvm = spark.sparkContext._jvm
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    """Delete what this session wrote to the shared folder; DataFrames over it are then invalid."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
     for name in paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(configuration).delete(path, True)
+        delete_folder(spark, name)
     return len(paths)

@@ -56,6 +56,23 @@ GRAPH = _struct(
     region_set=T.StringType(),
 )
 
+GRAPH_COUNTS = _struct(
+    that_region_id=T.LongType(),
+    source_id=T.LongType(),
+    target_id=T.LongType(),
+    visits=T.LongType(),
+    kind=T.StringType(),
+    region_id=T.LongType(),
+)
+
+GRAPH_CUTS = _struct(
+    kind=T.StringType(),
+    source_id=T.LongType(),
+    lowest=T.LongType(),
+    total=T.LongType(),
+    region_set=T.StringType(),
+)
+
 
 def ratings(entity: str) -> T.StructType:
     return _struct(person_id=T.LongType(), **{entity: T.LongType()}, rating=T.LongType(), region_set=T.StringType())
