@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,10 +89,15 @@ def test_bad_arguments(spark, epsilon, iterations):
         walk.walk(make_graph(spark, EDGES), ask(spark, 1), epsilon, iterations)
 
 
-@pytest.mark.parametrize("epsilon,iterations,limit", [(0.12, 12, 2_000_000), (0.02, 9, 0), (0.0, 3, 2_000_000)])
-def test_batch_of_all_vertices_equals_dense_walks(spark, monkeypatch, epsilon, iterations, limit):
-    """Includes a vertex without outgoing edges; each walk stops at its own step; edges broadcast and shuffled."""
+@pytest.mark.parametrize(
+    "epsilon,iterations,limit,seeds,parts",
+    [(0.12, 12, 2_000_000, 3, 9), (0.12, 12, 0, 3, 1), (0.02, 9, 0, 9, 9), (0.0, 4, 0, 1, 9), (0.0, 3, 2_000_000, 9, 9)],
+)
+def test_batch_of_all_vertices_equals_dense_walks(spark, monkeypatch, epsilon, iterations, limit, seeds, parts):
+    """Includes a vertex without outgoing edges; each walk stops at its own step; edges broadcast and in blocks."""
     monkeypatch.setattr(walk, "MAX_BROADCAST_EDGES", limit)
+    monkeypatch.setattr(walk, "SEEDS_PER_BLOCK", seeds)
+    monkeypatch.setattr(walk, "EDGES_PER_PART", parts)
     edges = EDGES + [(5, 6, 0.2), (7, 1, 0.5), (7, 6, 0.5)]
     edges[8] = (5, 3, 0.8)
     found, taken = walk.walk(make_graph(spark, edges), ask(spark, *range(1, 8)), epsilon, iterations)
@@ -105,6 +111,33 @@ def test_batch_of_all_vertices_equals_dense_walks(spark, monkeypatch, epsilon, i
         assert len(set(steps.values())) > 1
 
 
+def test_five_million_inner_edges(spark):
+    """100,000 places with 50 edges each, a third of them to one place; 40 persons, in blocks."""
+    places, degree, persons = 100_000, 50, 40
+    target = F.when(F.col("j") % 3 == 0, 0).otherwise((F.col("source_id") * 7_919 + F.col("j") * 104_729) % places)
+    inner = spark.range(places).select(F.col("id").alias("source_id"), F.explode(F.sequence(F.lit(0), F.lit(degree - 1))).alias("j"))
+    inner = inner.select("source_id", target.alias("target_id"), F.lit(1.0 / degree).alias("balanced_weight"))
+    outer = spark.range(persons).select((F.col("id") + 1_000_000).alias("source_id"), F.explode(F.array(F.col("id"), F.col("id") * 2_000 + 1)).alias("target_id"), F.lit(0.5).alias("balanced_weight"))
+    graphs = materialize(inner.unionByName(outer).withColumn("region_set", F.lit("s")))
+    asked = spark.range(persons).select(F.lit("s").alias("region_set"), (F.col("id") + 1_000_000).alias("person_id"))
+    walked = walk._walk(graphs, asked, 0.0, 4)
+    mass = {r.seed: r.p for r in walked.own.groupBy("seed").agg(F.sum("probability").alias("p")).collect()}
+    rest = walked.shared.where("steps = 4").agg(F.sum("probability")).first()[0]
+    assert len(mass) == persons and all(m + rest == pytest.approx(1, abs=1e-9) for m in mass.values())
+    # One person's own part by plain arrays.
+    source, j = np.divmod(np.arange(places * degree), degree)
+    to = np.where(j % 3 == 0, 0, (source * 7_919 + j * 104_729) % places)
+    state, total = np.zeros(places), np.zeros(places)
+    state[[3, 6_001]] = 0.15 * 0.85 * 0.5
+    total += state
+    for _ in range(2):
+        state = 0.85 / degree * np.bincount(to, state[source], places)
+        total += state
+    got = {r.id: r.probability for r in walked.own.where("seed = 1000003 and id < 1000000").collect()}
+    expected = {int(i): total[i] for i in np.flatnonzero(total)}
+    assert got == pytest.approx(expected, abs=1e-12)
+
+
 def test_region_sets_do_not_mix(spark):
     other = [(1, 2, 1.0), (2, 3, 1.0), (3, 1, 1.0)]
     graphs = make_graph(spark, EDGES).unionByName(make_graph(spark, other, "t"))

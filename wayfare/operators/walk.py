@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.functions.ranking import comparable, top_k
-from wayfare.functions.skew import partitions_for_pairs, salted_join
+from wayfare.functions.skew import partitions_for_pairs, salted_join, shuffle_partitions
 from wayfare.operators.graph import graph_vertices
 from wayfare.operators.requests import with_place_columns
 from wayfare.runtime import materialize
@@ -19,8 +20,14 @@ RESTART = 0.15
 # At about 75 bytes each these stay below 150 MB on an executor.
 MAX_BROADCAST_EDGES = 2_000_000
 MOVES_PER_PARTITION = 50_000_000
+# Beyond the broadcast, edges lie in blocks: a task meets the edges of a source with at most
+# so many start vertices of a region set, and with at most so many edges of the source.
+SEEDS_PER_BLOCK = 20_000
+EDGES_PER_PART = 1_000
 
 _SEED = ["region_set", "seed"]
+# An own part's rows carry the block of their seed.
+_STATE = [*_SEED, "block"]
 
 
 def _along_edges(probability: str):
@@ -44,32 +51,75 @@ def _spread_shared(shared: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def _spread_own(own: DataFrame, edges: DataFrame) -> DataFrame:
-    """One step of the own parts ``(region_set, seed, id, total, delta)``.
+def _spread_own(own: DataFrame, edges: DataFrame | BlockedEdges) -> DataFrame:
+    """One step of the own parts ``(region_set, seed, block, id, total, delta)``.
 
     What moves is the last change; the total takes up what arrives. Rows of a seed stay
     together, so with broadcast edges neither the join nor the sum shuffles anything.
     """
-    arriving = _joined(own, edges).select(
-        *_SEED,
+    moving = edges.meet(own) if isinstance(edges, BlockedEdges) else _joined(own, edges)
+    arriving = moving.select(
+        *_STATE,
         F.col("target_id").alias("id"),
         F.lit(0.0).alias("total"),
         (F.col("delta") * F.col("balanced_weight") * (1 - RESTART)).alias("delta"),
     )
-    staying = own.select(*_SEED, "id", "total", F.lit(0.0).alias("delta"))
+    staying = own.select(*_STATE, "id", "total", F.lit(0.0).alias("delta"))
     return _add_up(arriving.unionByName(staying))
 
 
+class BlockedEdges:
+    """Edges laid out once for all steps of a blocked sparse matrix product.
+
+    A popular place is in the own parts of very many seeds, so a join by place alone would
+    gather them in one task. Rows of the product are cut by blocks of seeds, its columns by
+    sources, and the edges of a source with very many into parts. Edges are copied to the
+    blocks of their set, which are one per ``SEEDS_PER_BLOCK`` seeds: few against what the
+    seeds of a block send along them. The layout is kept on the executors' disks; what is
+    lost with one comes back from the stored edges.
+    """
+
+    def __init__(self, edges: DataFrame, blocks: DataFrame, partitions: int):
+        source = ["region_set", "source_id"]
+        degrees = edges.groupBy(*source).agg(F.count(F.lit(1)).alias("_edges"))
+        cut = degrees.where(F.col("_edges") > EDGES_PER_PART).select(*source, F.ceil(F.col("_edges") / EDGES_PER_PART).alias("_parts"))
+        every_block = blocks.select("region_set", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        cut = materialize(cut)
+        self.cut = None if cut.isEmpty() else materialize(cut.join(every_block, "region_set"))
+        laid_out = edges
+        self.keys = ["region_set", "block", "source_id"]
+        if self.cut is not None:
+            parts = F.coalesce(F.col("_parts"), F.lit(1).cast("long"))
+            laid_out = laid_out.join(cut, source, "left").withColumn("_part", F.pmod(F.xxhash64("target_id"), parts)).drop("_parts")
+        on = self.keys + (["_part"] if self.cut is not None else [])
+        self.partitions = partitions
+        self.edges = laid_out.join(every_block, "region_set").repartition(partitions, *on).persist(StorageLevel.DISK_ONLY)
+
+    def meet(self, own: DataFrame) -> DataFrame:
+        """Rows of the own parts with each edge of their vertex."""
+        state = own.withColumnRenamed("id", "source_id")
+        if self.cut is None:
+            return state.repartition(self.partitions, *self.keys).join(self.edges, self.keys)
+        parts = F.coalesce(F.col("_parts"), F.lit(1).cast("long"))
+        state = state.join(self.cut, self.keys, "left")
+        state = state.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+        on = [*self.keys, "_part"]
+        return state.repartition(self.partitions, *on).join(self.edges, on)
+
+    def drop(self) -> None:
+        self.edges.unpersist()
+
+
 def _add_up(parts: DataFrame) -> DataFrame:
     return (
-        parts.groupBy(*_SEED, "id")
+        parts.groupBy(*_STATE, "id")
         .agg(F.sum("total").alias("total"), F.sum("delta").alias("delta"))
         .withColumn("total", F.col("total") + F.col("delta"))
     )
 
 
-def _movement(own: DataFrame, now: DataFrame, before: DataFrame, active: DataFrame) -> DataFrame:
-    """Squared length of the last step per active seed.
+def _movement(own: DataFrame, now: DataFrame, before: DataFrame, active: DataFrame, blocks: DataFrame | None) -> DataFrame:
+    """Squared length of the last step per active seed; ``blocks`` where sets have several.
 
     Vertices that a seed's own part has not reached move exactly as the shared vector
     does, so their sum is that of all vertices less that of the reached ones, and no
@@ -82,8 +132,13 @@ def _movement(own: DataFrame, now: DataFrame, before: DataFrame, active: DataFra
     )
     everywhere = shift.groupBy("region_set").agg(F.sum(F.col("_shift") * F.col("_shift")).alias("_everywhere"))
     moved = F.coalesce(F.col("_shift"), F.lit(0.0))
+    there, on = shift, ["region_set", "id"]
+    if blocks is not None:
+        # A popular vertex is in many own parts: each block of seeds has its copy.
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        there, on = shift.join(blocks.select("region_set", every), "region_set"), ["region_set", "block", "id"]
     reached = (
-        own.join(shift, ["region_set", "id"], "left")
+        own.join(there, on, "left")
         .groupBy(*_SEED)
         .agg(
             F.sum((moved + F.col("delta")) * (moved + F.col("delta"))).alias("_reached"),
@@ -94,7 +149,7 @@ def _movement(own: DataFrame, now: DataFrame, before: DataFrame, active: DataFra
     return (
         active.join(reached, _SEED, "left")
         .join(everywhere, "region_set")
-        .select(*_SEED, (F.coalesce("_reached", F.lit(0.0)) + F.greatest(elsewhere, F.lit(0.0))).alias("squared_step"))
+        .select(*_STATE, (F.coalesce("_reached", F.lit(0.0)) + F.greatest(elsewhere, F.lit(0.0))).alias("squared_step"))
     )
 
 
@@ -134,19 +189,24 @@ def _walk(graph: DataFrame, requests: DataFrame, epsilon: float, max_iterations:
     )
     vertices = materialize(graph_vertices(edges))
     in_graph = vertices.select("region_set", F.col("id").alias("seed"))
-    active = materialize(asked.join(in_graph, _SEED, "left_semi"))
+    known = asked.join(in_graph, _SEED, "left_semi")
+    blocks = known.groupBy("region_set").agg(F.ceil(F.count(F.lit(1)) / SEEDS_PER_BLOCK).cast("int").alias("blocks"))
+    blocks = materialize(blocks)
+    several = (blocks.agg(F.max("blocks").alias("n")).first().n or 1) > 1
+    block = F.pmod(F.xxhash64("seed"), F.col("blocks")).cast("int")
+    active = materialize(known.join(blocks, "region_set").select(*_SEED, block.alias("block")))
     targets = edges.select("region_set", F.col("target_id").alias("source_id")).distinct()
     inner = materialize(edges.join(targets, ["region_set", "source_id"], "left_semi"))
     partitions = _partitions_for(active, inner)
-    if inner.limit(MAX_BROADCAST_EDGES + 1).count() <= MAX_BROADCAST_EDGES:
-        inner = F.broadcast(inner)
+    few = inner.limit(MAX_BROADCAST_EDGES + 1).count() <= MAX_BROADCAST_EDGES
+    inner = F.broadcast(inner) if few else BlockedEdges(inner, blocks, max(partitions, shuffle_partitions(edges.sparkSession)))
 
     sizes = vertices.groupBy("region_set").agg(F.count(F.lit(1)).alias("_size"))
     shared = vertices.join(sizes, "region_set").select(
         "region_set", "id", (F.lit(1.0) / F.col("_size")).alias("probability")
     )
     own = active.select(
-        *_SEED, F.col("seed").alias("id"), F.lit(0.0).alias("total"), F.lit(0.0).alias("delta")
+        *_STATE, F.col("seed").alias("id"), F.lit(0.0).alias("total"), F.lit(0.0).alias("delta")
     ).limit(0)
     shared_by_step = [shared.withColumn("steps", F.lit(0))]
     finished: list[DataFrame] = []
@@ -158,24 +218,26 @@ def _walk(graph: DataFrame, requests: DataFrame, epsilon: float, max_iterations:
         shared_by_step.append(shared.withColumn("steps", F.lit(steps)))
         if steps == 1:
             restart = F.lit(RESTART)
-            own = active.select(*_SEED, F.col("seed").alias("id"), restart.alias("total"), restart.alias("delta"))
+            own = active.select(*_STATE, F.col("seed").alias("id"), restart.alias("total"), restart.alias("delta"))
         elif steps == 2:
             own = materialize(_spread_own(own, edges))
         else:
-            own = materialize(_spread_own(own.repartition(partitions, *_SEED), inner))
+            own = materialize(_spread_own(own.repartition(partitions, *_SEED) if few else own, inner))
         if epsilon > 0 and steps < max_iterations:
-            movement = materialize(_movement(own, shared, before, active))
+            movement = materialize(_movement(own, shared, before, active, blocks if several else None))
             close = F.col("squared_step") <= epsilon * epsilon
             done = movement.where(close).select(*_SEED)
             stopped.append(done.withColumn("steps", F.lit(steps)))
             finished.append(own.join(done, _SEED, "left_semi"))
-            active = movement.where(~close).select(*_SEED)
+            active = movement.where(~close).select(*_STATE)
             if active.isEmpty():
                 break
-            own = own.join(active, _SEED, "left_semi")
+            own = own.join(active.select(*_SEED), _SEED, "left_semi")
     else:
-        stopped.append(active.withColumn("steps", F.lit(steps)))
+        stopped.append(active.select(*_SEED).withColumn("steps", F.lit(steps)))
         finished.append(own)
+    if not few:
+        inner.drop()
 
     taken = materialize(reduce(DataFrame.unionByName, stopped))
     parts = [p.select(*_SEED, "id", F.col("total").alias("probability")) for p in finished]
@@ -204,7 +266,7 @@ def walk(
     Persons have no incoming edges, so beyond the first move the own parts need only the
     edges between places and categories. While those are few by count, they are broadcast
     and a step shuffles the own parts once, by seed, and not what they send along the
-    edges. Each step is checkpointed, and one flag per step reaches the driver.
+    edges. Beyond that they lie in blocks, see ``BlockedEdges``. Each step is checkpointed, and one flag per step reaches the driver.
     """
     walked = _walk(graph, requests, epsilon, max_iterations)
     # Every start vertex gets its own copy of the shared vector at the step it stopped.
