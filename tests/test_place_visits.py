@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.functions import skew
 from wayfare.functions.geo import distance_m
 from wayfare.operators import place_visits as P
 from wayfare.operators import profiles
@@ -81,6 +82,23 @@ def test_time_filter_and_columns_reach_the_scan(spark, tables, tmp_path):
     assert "ReadSchema: struct<person_id:bigint,timestamp:timestamp>" in plan
 
 
+def test_a_hot_city_is_spread_over_tasks(spark, monkeypatch):
+    """Most visits are in one cell: the shuffled form equals the broadcast one, and no task gets most of them."""
+    rows = [(i, 0, NOON, 1.0 + (i % 7) * 1e-5, 1.0) for i in range(4_000)] + [(i, i % 3, NOON, 1.0 + i * 0.01, 1.0) for i in range(300)]
+    visits = spark.createDataFrame(rows, VISIT)
+    places = [(10 + i, 0, 5, 1.0, 1.0 + i * 1e-5) for i in range(10)] + [(50 + i, i % 3, 6, 1.0 + i * 0.01, 1.0) for i in range(200)]
+    places = spark.createDataFrame(places, PLACE)
+    pairs = lambda df: sorted((r.person_id, r.region_id, r.place_id) for r in df.collect())
+    expected = pairs(P.match_places(visits, places))
+    monkeypatch.setattr(P, "MAX_BROADCAST_PLACES", 0)
+    monkeypatch.setattr(P, "COMPARED_PER_PART", 500)
+    monkeypatch.setattr(skew, "shuffle_partitions", lambda _: 8)
+    found = P.match_places(visits, places)
+    assert pairs(found) == expected and len(expected) > 40_000
+    per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) == 8 and max(per_task) < 2 * sum(per_task) / 8
+
+
 def test_bounding_box(spark):
     visits = spark.createDataFrame(
         [(1, 0, NOON, 1.0, 1.0), (2, 0, NOON, 3.0, 1.0), (3, 0, NOON, 3.0, -1.0)], VISIT

@@ -35,8 +35,13 @@ def _product_pairs(counts: DataFrame, keys: Sequence[str], block: int | None = N
     """
     keys, block = list(keys), block or _BLOCK
     sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_places"))
-    pairs = sizes.agg(F.sum(F.col("_places") * F.col("_places") / 2).alias("n")).first().n or 0
-    partitions = partitions_for_pairs(counts.sparkSession, pairs, _PAIRS_PER_PARTITION)
+    known = sizes.agg(F.sum(F.col("_places") * F.col("_places") / 2).alias("pairs"), F.max("_places").alias("most")).first()
+    partitions = partitions_for_pairs(counts.sparkSession, known.pairs or 0, _PAIRS_PER_PARTITION)
+    if (known.most or 0) <= block:
+        ours = counts.repartition(partitions, *keys)
+        theirs = ours.select(*keys, *[F.col(c).alias(f"that_{c}") for c in _PLACE], F.col("visits").alias("_that_visits"))
+        met = ours.join(theirs, keys).where(F.col("place_id") < F.col("that_place_id"))
+        return met.select(*_PLACE, *[f"that_{c}" for c in _PLACE], (F.col("visits") * F.col("_that_visits")).alias("visit_pairs"))
     heavy = sizes.where(F.col("_places") > block).select(*keys, F.ceil(F.col("_places") / block).alias("_blocks"))
     blocks = F.coalesce(F.col("_blocks"), F.lit(1).cast("long"))
     own = F.pmod(F.xxhash64("place_id"), blocks)

@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.geo import Grid, distance_m, is_valid_location
+from wayfare.functions.skew import salted_join
 from wayfare.functions.times import days_before, year_month
 
 # Fixed value: a person within this distance of a place visits it.
 MATCH_RADIUS_M = 100.0
 # Nine cells each, at about 100 bytes, are some 90 MB.
 MAX_BROADCAST_PLACES = 100_000
+# Visits times places of a cell that one task compares.
+COMPARED_PER_PART = 2_000_000
 
 
 def recent_visits(visits: DataFrame, last_days: int) -> DataFrame:
@@ -66,7 +69,8 @@ def match_places(visits: DataFrame, places: DataFrame, radius_m: float = MATCH_R
     is listed in the up to nine cells around it, and the exact distance decides. Visits
     are neither copied nor aggregated beforehand. A counted, small number of places is
     broadcast, so that the visits stay where they were read, whatever their skew. With
-    more places both sides are shuffled by cell, and adaptive execution splits hot cells.
+    more places both sides are shuffled by cell. A cell of a hot city is cut into parts by
+    its counted visits times places, so that no task compares more than a part.
     """
     grid = Grid(radius_m)
     here = visits.withColumn("_cell", grid.cell("latitude", "longitude"))
@@ -78,10 +82,13 @@ def match_places(visits: DataFrame, places: DataFrame, radius_m: float = MATCH_R
         F.col("longitude").alias("_place_longitude"),
         F.explode(grid.cells_in_reach("latitude", "longitude")).alias("_cell"),
     )
+    cell = ["region_id", "_cell"]
     if places.limit(MAX_BROADCAST_PLACES + 1).count() <= MAX_BROADCAST_PLACES:
-        there = F.broadcast(there)
+        met = here.join(F.broadcast(there), cell)
+    else:
+        met = salted_join(here, there, cell, [c for c in here.columns if c not in cell], COMPARED_PER_PART)
     apart = distance_m(F.col("latitude"), F.col("longitude"), F.col("_place_latitude"), F.col("_place_longitude"))
-    return here.join(there, ["region_id", "_cell"]).where(apart <= radius_m)
+    return met.where(apart <= radius_m)
 
 
 def place_visits(
