@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.llm.words import bound_batches
 from wayfare.runtime import materialize
 
 MANY_PAGES = 8
@@ -49,13 +51,19 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form dial
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th tr caption figcaption b i em strong a span code q u s small sub sup mark br".split())
 # Text that may be a template by itself where no article is marked.
 _PARAGRAPHS = frozenset(("p", "pre", "blockquote"))
-# Names of classes and ids, cut at signs, that mark other things than the article.
+# Names that mark other things than the article, as a class or an id or as its first or last part.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice notices notification alert banner newsletter subscribe subscription signup login sidebar menu navbar nav navigation "
     "breadcrumb breadcrumbs comment comments commentlist respond reply replies disqus discussion share sharing social related "
     "recommended footer popup modal overlay widget toolbar pagination pager skip search paywall".split()
 )
+# Inside an article these are words like any other; there only recurrence tells.
+_WEAK_MARKS = frozenset("notice notices notification alert banner discussion share sharing social related recommended search header".split())
+# Parts that turn a name about: layouts are called no-sidebar, has-sidebar and so on.
+_TURNED = frozenset("no not non has have with without hide hides hidden show shows is are below above after before beside next".split())
+# An <article> of such a name is a reader's comment, a teaser or an advert.
+_NO_ARTICLE = frozenset("comment comments reply ad ads advert related teaser promo sponsored".split())
 _CLOSES_P = _BLOCKS - {"body", "html"}
 _SAME_LEVEL = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -102,10 +110,12 @@ def parse(source: str) -> Page:
     page, stack = Page(), []
     inner: list[list[str]] = [[]]  # hash parts of the open elements' contents
     tags, events, hashes = page.tags, page.events, page.hashes
+    open_tags: Counter[str] = Counter()
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             i = stack.pop()
+            open_tags[tags[i]] -= 1
             own = inner.pop()
             hashes[i] = _hash([tags[i], page.attributes[i] if "class" in page.attributes[i] or "id" in page.attributes[i] else "", *own])
             inner[-1].append(str(hashes[i]))
@@ -140,14 +150,15 @@ def parse(source: str) -> Page:
             continue
         tag = name.lower()
         if slash:
-            for depth in range(len(stack) - 1, -1, -1):
-                if tags[stack[depth]] == tag:
-                    close(depth)
-                    break
+            if open_tags[tag]:
+                for depth in range(len(stack) - 1, -1, -1):
+                    if tags[stack[depth]] == tag:
+                        close(depth)
+                        break
             continue
-        if tag in ("html", "body") and tag in (tags[i] for i in stack):
+        if tag in ("html", "body") and open_tags[tag]:
             continue
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and open_tags["p"]:
             for depth in range(len(stack) - 1, -1, -1):
                 open_tag = tags[stack[depth]]
                 if open_tag == "p":
@@ -155,7 +166,7 @@ def parse(source: str) -> Page:
                     break
                 if open_tag in _BLOCKS or open_tag in ("td", "th"):
                     break
-        if tag in _SAME_LEVEL:
+        if tag in _SAME_LEVEL and any(open_tags[t] for t in _SAME_LEVEL[tag][0]):
             same, limits = _SAME_LEVEL[tag]
             for depth in range(len(stack) - 1, -1, -1):
                 open_tag = tags[stack[depth]]
@@ -172,6 +183,7 @@ def parse(source: str) -> Page:
         hashes.append(0)
         events.append(i + 1)
         stack.append(i)
+        open_tags[tag] += 1
         inner.append([])
         if tag in _VOID or (rest.endswith("/") and tag not in _BLOCKS):
             close(len(stack) - 1)
@@ -188,20 +200,55 @@ def subtree_hashes(page: Page) -> set[int]:
     return {h for h, t in zip(page.hashes, page.tags) if t not in _VOID and t not in ("html", "body", "head", "article", "main", "title")}
 
 
-def _marked(page: Page, i: int, in_article: bool) -> bool:
-    """Whether an element is by its name or marks no part of an article."""
+def _named(page: Page, i: int, marks: frozenset) -> bool:
+    """Whether a class or the id of an element is one of the marks, or begins or ends with one."""
+    for name in f"{page.attribute(i, 'class') or ''} {page.attribute(i, 'id') or ''}".split():
+        parts = _NAME_PARTS.findall(_CAMEL.sub(" ", name).lower())
+        if parts and not _TURNED.intersection(parts) and (parts[0] in marks or parts[-1] in marks):
+            return True
+    return False
+
+
+def _is_article(page: Page, i: int) -> bool:
+    """Whether an element is, by tag or role, an article or the main part, and no reader's comment or the like."""
+    kind = page.tags[i] if page.tags[i] in ("article", "main") else (page.attribute(i, "role") or "").lower() if "role" in page.attributes[i] else ""
+    return kind in ("article", "main") and not _named(page, i, _NO_ARTICLE)
+
+
+def _holders(page: Page, sizes: list[int]) -> list[bool]:
+    """Whether an element holds an article, the main part or most of the page's text."""
+    most = sum(n for n, parent in zip(sizes, page.parents) if parent < 0)
+    out = [2 * n > most for n in sizes]
+    for i in range(len(page.tags)):
+        if _is_article(page, i):
+            i = page.parents[i]
+            while i >= 0 and not out[i]:
+                out[i] = True
+                i = page.parents[i]
+    return out
+
+
+def _marked(page: Page, i: int, in_article: bool, holders: list[bool]) -> bool:
+    """Whether an element is by its tag, role or name no part of an article.
+
+    Names and forms count only where they hold neither an article nor most of the text:
+    pages lie in one form, and wrappers are called after the columns they make room for.
+    """
     tag, attributes = page.tags[i], page.attributes[i]
-    if tag in _DROPPED or (tag == "header" and not in_article):
+    if (tag in _DROPPED and not (tag == "form" and holders[i])) or (tag == "header" and not in_article):
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return False
-    if (page.attribute(i, "role") or "").lower() in _ROLES or page.attribute(i, "hidden") is not None:
+    if tag == "article":
+        return _named(page, i, _NO_ARTICLE)
+    role = (page.attribute(i, "role") or "").lower()
+    if (role in _ROLES and not (role == "form" and holders[i])) or page.attribute(i, "hidden") is not None:
         return True
     if re.search(r"display\s*:\s*none", attributes, re.IGNORECASE) or (page.attribute(i, "aria-hidden") or "").lower() == "true":
         return True
-    names = f"{page.attribute(i, 'class') or ''} {page.attribute(i, 'id') or ''}"
-    parts = set(_NAME_PARTS.findall(_CAMEL.sub(" ", names).lower()))
-    return bool(parts & _MARKS) or (not in_article and "header" in parts)
+    if holders[i]:
+        return False
+    return _named(page, i, _MARKS - _WEAK_MARKS if in_article else _MARKS | {"header"})
 
 
 def _text_sizes(page: Page) -> list[int]:
@@ -220,39 +267,38 @@ def _text_sizes(page: Page) -> list[int]:
     return sizes
 
 
-def _article(page: Page, sizes: list[int]) -> int | None:
-    """The element that holds the article: the longest <article>, else the longest main part, that no dropped element holds."""
+def _articles(page: Page, holders: list[bool]) -> set[int]:
+    """The elements that hold the article: all <article> elements, else all main parts, that neither
+    a dropped element nor another of them holds."""
 
-    def held(i: int) -> bool:
+    def free(i: int, chosen: set[int]) -> bool:
         i = page.parents[i]
         while i >= 0:
-            if _marked(page, i, False):
-                return True
+            if i in chosen or _marked(page, i, False, holders):
+                return False
             i = page.parents[i]
-        return False
-
-    def is_comment(i: int) -> bool:
-        names = f"{page.attribute(i, 'class') or ''} {page.attribute(i, 'id') or ''}".lower()
-        return bool(set(_NAME_PARTS.findall(names)) & {"comment", "comments", "reply", "ad", "ads", "advert", "related", "teaser", "promo", "sponsored"})
+        return True
 
-    for kind in (
-        lambda i: page.tags[i] == "article" or page.attribute(i, "role") == "article",
-        lambda i: page.tags[i] == "main" or page.attribute(i, "role") == "main",
-    ):
-        found = [i for i in range(len(page.tags)) if kind(i) and not is_comment(i) and not held(i)]
-        if found:
-            return max(found, key=lambda i: (sizes[i], -i))
-    return None
+    for kind in ("article", "main"):
+        chosen: set[int] = set()
+        for i in range(len(page.tags)):
+            by_role = "role" in page.attributes[i] and page.attribute(i, "role") == kind
+            if (page.tags[i] == kind or by_role) and _is_article(page, i) and free(i, chosen):
+                chosen.add(i)
+        if chosen:
+            return chosen
+    return set()
 
 
 def main_text(page: Page, templates: set[int]) -> str:
     """Blocks of the article in page order, without marked elements and recurring subtrees."""
     sizes = _text_sizes(page)
-    root = _article(page, sizes)
-    whole = sizes[root] if root is not None else max(sizes, default=0)
+    holders = _holders(page, sizes)
+    roots = _articles(page, holders)
+    whole = sum(sizes[i] for i in roots) if roots else max(sizes, default=0)
     blocks: list[str] = []
     parts: list[str] = []
-    inside, skipped, stack_skip = root is None, 0, -1
+    inside, skipped, stack_skip = not roots, 0, -1
 
     def flush() -> None:
         block = " ".join(html.unescape("".join(parts)).split())
@@ -270,7 +316,7 @@ def main_text(page: Page, templates: set[int]) -> str:
         if event > 0:
             if skipped:
                 continue
-            if i == root:
+            if i in roots:
                 inside = True
                 flush()
                 continue
@@ -279,10 +325,10 @@ def main_text(page: Page, templates: set[int]) -> str:
             recurring = (
                 page.hashes[i] in templates
                 and sizes[i] * 2 <= whole
-                and not (tag in _TEXT_BLOCKS and (root is not None or tag not in _PARAGRAPHS))
+                and not (tag in _TEXT_BLOCKS and (roots or tag not in _PARAGRAPHS))
                 and tag not in ("html", "body", "article", "main")
             )
-            if recurring or _marked(page, i, root is not None):
+            if recurring or _marked(page, i, bool(roots), holders):
                 skipped, stack_skip = 1, i
                 if tag in _BLOCKS:
                     flush()
@@ -292,7 +338,7 @@ def main_text(page: Page, templates: set[int]) -> str:
                 if i == stack_skip:
                     skipped = 0
                 continue
-            if i == root:
+            if i in roots:
                 flush()
                 inside = False
                 continue
@@ -323,16 +369,18 @@ def extract(pages: DataFrame, many: int = MANY_PAGES, most_broadcast: int = MOST
     """page_id, url, text and n_chars of every page.
 
     Recurring subtrees are sent to all tasks while they number at most ``most_broadcast``
-    (16 bytes each, counted first); more of them join the pages by shuffle.
+    (16 bytes each, counted first); more of them join the pages by shuffle. A task parses
+    one page at a time.
     """
+    bound_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1))
     keyed = pages.select(F.xxhash64("page_id", "url", "html").alias("_key"), "page_id", "url", "html")
 
     def subtrees(batches):
         for batch in batches:
             keys, hosts, bodies, hashes = [], [], [], []
-            for key, name, source in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                page = parse(source or "")
+            for key, name, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                page = parse(source.as_py() or "")
                 own = [_PAGE, *subtree_hashes(page)]
                 keys += [key] * len(own)
                 hosts += [name] * len(own)
@@ -368,14 +416,15 @@ def extract(pages: DataFrame, many: int = MANY_PAGES, most_broadcast: int = MOST
 
         def known(batches):
             for batch in batches:
-                parsed = [parse(source or "") for source in batch.column(2).to_pylist()]
-                out = []
-                for page, name in zip(parsed, batch.column(3).to_pylist()):
-                    own = np.array(list(subtree_hashes(page)), np.int64)
-                    hashed = _pair_hash(name, own)
-                    at = np.minimum(np.searchsorted(pairs.value, hashed), max(len(pairs.value) - 1, 0))
-                    out.append((page, set(own[pairs.value[at] == hashed].tolist()) if len(pairs.value) else set()))
-                yield rows(batch, out)
+                def made(batch=batch):
+                    for source, name in zip(batch.column(2), batch.column(3).to_pylist()):
+                        page = parse(source.as_py() or "")
+                        own = np.array(list(subtree_hashes(page)), np.int64)
+                        hashed = _pair_hash(name, own)
+                        at = np.minimum(np.searchsorted(pairs.value, hashed), max(len(pairs.value) - 1, 0))
+                        yield page, set(own[pairs.value[at] == hashed].tolist()) if len(pairs.value) else set()
+
+                yield rows(batch, made())
 
         return tagged.select("page_id", "url", "html", "host").mapInArrow(known, schema)
 
@@ -383,7 +432,7 @@ def extract(pages: DataFrame, many: int = MANY_PAGES, most_broadcast: int = MOST
 
     def joined(batches):
         for batch in batches:
-            sources, templates = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            yield rows(batch, [(parse(h or ""), set(t or ())) for h, t in zip(sources, templates)])
+            templates = batch.column(3).to_pylist()
+            yield rows(batch, ((parse(h.as_py() or ""), set(t or ())) for h, t in zip(batch.column(2), templates)))
 
     return keyed.join(recurring, "_key", "left").select("page_id", "url", "html", "templates").mapInArrow(joined, schema)
