@@ -118,11 +118,13 @@ _SPELLED_RUN = re.compile(rf"\b{_NUMBER_WORD}(?:[ ,.-]{{1,2}}(?:{_NUMBER_WORD}|[
 _SPELLED_WORD = re.compile(rf"\b{_NUMBER_WORD}\b", re.IGNORECASE)
 _AT_SIGN = re.compile(r"\s{0,3}[\[({<]\s{0,2}(?:at|arroba|arobase|@)\s{0,2}[\])}>]\s{0,3}|\s{1,3}(?:AT|arroba|arobase)\s{1,3}|(?<=\w)\s{1,2}@\s{0,2}(?=\w)|(?<=\w)@\s{1,2}(?=\w)", re.IGNORECASE)
 _DOT_SIGN = re.compile(r"\s{0,3}[\[({<]\s{0,2}(?:dot|punkt|punto|point|\.)\s{0,2}[\])}>]\s{0,3}|\s{1,3}(?:dot|punkt|punto|point)\s{1,3}|(?<=\w)\s\.\s(?=\w)", re.IGNORECASE)
-# Names around a disguised "@", so that the plain words "at" and "dot" count in an address only.
-_PART = r"[A-Za-z0-9_%+-]{1,64}"
-_AT = rf"(?:{_AT_SIGN.pattern}|@)"
+# Names around a disguised "@" are read label by label, so that the plain words "at" and "dot"
+# count in an address only and neither labels nor their number have a limit.
+_NAME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_%+-")
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+_AT = re.compile(rf"{_AT_SIGN.pattern}|@", re.IGNORECASE)
 _DOT = rf"(?:{_DOT_SIGN.pattern}|\.)"
-_ADDRESS = re.compile(rf"(?<![A-Za-z0-9_%+-]){_PART}(?:{_DOT}{_PART}){{0,4}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{2,63}}){{1,4}}", re.IGNORECASE)
+_ANY_DOT = re.compile(_DOT, re.IGNORECASE)
 _NUMBERED = re.compile(rf"[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
 _PLUS = re.compile(r"\b(?:plus|más)\s{1,2}(?=[0-9(])", re.IGNORECASE)
 # Any match of _AT_SIGN or _DOT_SIGN holds a match of one of these, but for the plain word
@@ -217,19 +219,57 @@ def _spelled_digits(state: Rewritten) -> None:
     state.replace(_spelled_edits(state.text))
 
 
+def _addresses(text: str):
+    """Each "@", plain or disguised, with names around it: (its match, the dots before it, the dots behind it).
+
+    A linear scan: names are read to the left up to the address before, and to the right.
+    What stands behind the "@" has a dot and ends with a label of two characters or more.
+    """
+    dots = list(_ANY_DOT.finditer(text))
+    ending, beginning = {d.end(): d for d in dots}, {d.start(): d for d in dots}
+    done = 0
+    for at in _AT.finditer(text):
+        start, before = at.start(), []
+        while True:
+            name = start
+            while name > done and text[name - 1] in _NAME:
+                name -= 1
+            if name == start:
+                break
+            start, dot = name, ending.get(name)
+            if dot is None or dot.start() <= done or text[dot.start() - 1] not in _NAME:
+                break
+            before.append(dot)
+            start = dot.start()
+        if start == at.start():
+            continue
+        label = _LABEL.match(text, at.end())
+        behind, ends = [], []
+        while label is not None:
+            ends.append((label.end(), label.end() - label.start()))
+            dot = beginning.get(label.end())
+            label = _LABEL.match(text, dot.end()) if dot is not None else None
+            if label is not None:
+                behind.append(dot)
+        while len(ends) > 1 and ends[-1][1] < 2:
+            ends.pop()
+            behind.pop()
+        if behind:
+            done = ends[-1][0]
+            yield at, before, behind
+
+
 def _at_and_dot(state: Rewritten) -> None:
     """Signs for "@" and "." inside what reads as an address or an IP number become the characters."""
     edits = []
-    for m in _ADDRESS.finditer(state.text):
-        at = _AT_SIGN.search(state.text, m.start(), m.end())
-        dots = [d for d in _DOT_SIGN.finditer(state.text, m.start(), m.end())]
-        plain_at = at is not None and re.fullmatch(r"\s+at\s+", at.group(), re.IGNORECASE)
-        if plain_at and not any(d.start() >= at.end() for d in dots):
+    for at, before, behind in _addresses(state.text):
+        disguised = [d for d in behind if d.group() != "."]
+        if re.fullmatch(r"\s+at\s+", at.group(), re.IGNORECASE) and not disguised:
             # "look at example.com": a plain word before a plain domain is no disguise.
             continue
-        if at is not None:
+        if at.group() != "@":
             edits.append((at.start(), at.end(), "@"))
-        edits += [(d.start(), d.end(), ".") for d in dots if at is None or d.end() <= at.start() or d.start() >= at.end()]
+        edits += [(d.start(), d.end(), ".") for d in [*before, *disguised] if d.group() != "."]
     covered = [(a, b) for a, b, _ in edits]
     for m in _NUMBERED.finditer(state.text):
         edits += [
