@@ -189,12 +189,15 @@ def _walk(graph: DataFrame, requests: DataFrame, epsilon: float, max_iterations:
     )
     vertices = materialize(graph_vertices(edges))
     in_graph = vertices.select("region_set", F.col("id").alias("seed"))
-    known = asked.join(in_graph, _SEED, "left_semi")
+    known = materialize(asked.join(in_graph, _SEED, "left_semi"))
     blocks = known.groupBy("region_set").agg(F.ceil(F.count(F.lit(1)) / SEEDS_PER_BLOCK).cast("int").alias("blocks"))
-    blocks = materialize(blocks)
     several = (blocks.agg(F.max("blocks").alias("n")).first().n or 1) > 1
-    block = F.pmod(F.xxhash64("seed"), F.col("blocks")).cast("int")
-    active = materialize(known.join(blocks, "region_set").select(*_SEED, block.alias("block")))
+    if several:
+        blocks = materialize(blocks)
+        block = F.pmod(F.xxhash64("seed"), F.col("blocks")).cast("int")
+        active = materialize(known.join(blocks, "region_set").select(*_SEED, block.alias("block")))
+    else:
+        active = known.withColumn("block", F.lit(0))
     targets = edges.select("region_set", F.col("target_id").alias("source_id")).distinct()
     inner = materialize(edges.join(targets, ["region_set", "source_id"], "left_semi"))
     partitions = _partitions_for(active, inner)
