@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
@@ -43,6 +43,11 @@ _WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]+")
 _SENTENCE_END = re.compile(r"[.?!\n]+(?=\s|\Z)")
 
 
+def lowered(text: str) -> str:
+    """Lower case of items and documents alike, sign by sign: a final sigma is a sigma."""
+    return pc.utf8_lower(pa.scalar(text)).as_py()
+
+
 def split_item(text: str) -> tuple[str, str]:
     """Question and answer of an item: the last sentence is the answer, if another one is before it."""
     ends = [m.end() for m in _SENTENCE_END.finditer(text.rstrip())]
@@ -68,13 +73,14 @@ class Index:
     block_maxima: list[list[float]]
     term_maxima: np.ndarray
     range_maxima: np.ndarray  # terms x ranges of items
+    known_parts: dict[int, list[tuple[set, int, int]]] = field(default_factory=dict)  # of items retrieved so far
 
     @classmethod
     def build(cls, items: list[tuple[object, str]], share: float = SHARE, stride: int = STRIDE) -> Index:
         found: dict[int, dict[int, int]] = {}
         sizes = []
         for number, (_, text) in enumerate(items):
-            raw = np.frombuffer((text or "").lower().encode(), np.uint8)
+            raw = np.frombuffer(lowered(text or "").encode(), np.uint8)
             hashes, _ = _letters(hash_words(raw, np.array([0, len(raw)]), signs=True))
             sizes.append(len(hashes))
             for h in hashes.tolist():
@@ -106,6 +112,15 @@ class Index:
             np.array([max(m) for m in maxima]), ranges,
         )
 
+    def parts(self, number: int) -> list[tuple[set, int, int]]:
+        """Word 5-grams of an item's question and answer (the whole sequence, if shorter), their length, 0 for
+        no words, and their number."""
+        if number not in self.known_parts:
+            words = [_WORD.findall(lowered(p)) for p in split_item(self.texts[number])]
+            sizes = [min(GRAM, len(w)) for w in words]
+            self.known_parts[number] = [(_grams(w, n), n, max(1, len(w) - GRAM + 1)) for w, n in zip(words, sizes)]
+        return self.known_parts[number]
+
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Term numbers, -1 for words of no item."""
         out = np.full(len(hashes), -1, np.int64)
@@ -174,12 +189,18 @@ class Index:
         at = np.flatnonzero(terms >= 0)
         owner = np.repeat(np.arange(len(counts)), counts)[at]
         half = (at - first[owner]) // stride
-        keys = []
+        terms = terms[at]
+        placed = []
+        loose = np.zeros(window_from[-1])
         for step in (0, -1):
             own = half + step
-            inside = (own >= 0) & (own < windows[owner])
-            keys.append((window_from[owner[inside]] + own[inside]) * len(self.terms) + terms[at[inside]])
-        keys = np.unique(np.concatenate(keys))
+            inside = np.flatnonzero((own >= 0) & (own < windows[owner]))
+            window = window_from[owner[inside]] + own[inside]
+            loose += np.bincount(window, self.term_maxima[terms[inside]], len(loose))
+            placed.append((window, terms[inside]))
+        # Repeated words count each time here, so no passage is lost; most go without a sort.
+        hopeful = loose >= 1 - 1e-6
+        keys = np.unique(np.concatenate([w[hopeful[w]] * len(self.terms) + t[hopeful[w]] for w, t in placed]))
         if not len(keys):
             return []
         passage, term = keys // len(self.terms), keys % len(self.terms)
@@ -203,16 +224,6 @@ def _grams(words: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
-def overlap(part: str, words: list[str]) -> float | None:
-    """Share of a part's word 5-grams (its whole sequence, if shorter) that a document has; None for no words."""
-    own = _WORD.findall(part.lower())
-    if not own:
-        return None
-    n = min(GRAM, len(own))
-    grams = _grams(own, n)
-    return len(grams & _grams(words, n)) / len(grams)
-
-
 def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, least: float = OVERLAP, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """doc_id, item_id, score, question_overlap and answer_overlap of each item that a document holds.
 
@@ -235,15 +246,19 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, leas
         def run(batches):
             for batch in batches:
                 found = []
-                for row, _, words in word_chunks(pc.utf8_lower(batch.column(1)), signs=True):
-                    last, text_words = None, []
+                texts = pc.utf8_lower(batch.column(1))
+                for row, _, words in word_chunks(texts, signs=True):
+                    last, text_words, grams = None, [], {}
                     for text, number, score in index.value.search(words):
                         if text != last:
-                            last, text_words = text, _WORD.findall(batch.column(1)[row + text].as_py().lower())
-                        question, answer = split_item(index.value.texts[number])
-                        q, a = overlap(question, text_words), overlap(answer, text_words)
-                        weights = [max(1, len(_WORD.findall(p)) - GRAM + 1) for p in (question, answer)]
-                        both = [(v, w) for v, w in zip((q, a), weights) if v is not None]
+                            last, text_words, grams = text, _WORD.findall(texts[row + text].as_py()), {}
+                        both, shares = [], []
+                        for part, n, weight in index.value.parts(number):
+                            if n and n not in grams:
+                                grams[n] = _grams(text_words, n)
+                            shares.append(len(part & grams[n]) / len(part) if n else None)
+                            both += [(shares[-1], weight)] if n else []
+                        q, a = shares
                         if both and sum(v * w for v, w in both) / sum(w for _, w in both) >= least:
                             found.append((batch.column(0)[row + text].as_py(), index.value.ids[number], score, q, a))
                 columns = list(zip(*found)) if found else [[]] * 5
@@ -261,6 +276,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, leas
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
-    """The documents that hold no benchmark item; rows with a null id stay."""
-    held = leaks(documents, benchmark, **limits).select(F.col("doc_id").alias("_held")).where("_held is not null").distinct()
-    return documents.alias("d").join(held.alias("h"), F.col("d.doc_id") == F.col("h._held"), "left_anti")
+    """The documents that hold no benchmark item, judged by their text whatever their id."""
+    key = F.xxhash64("doc_id", "text")
+    keyed = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), key.alias("key"))
+    held = leaks(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), benchmark, **limits)
+    return keyed.join(held.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").select("row.*")
