@@ -150,7 +150,14 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
         .orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id")
         .limit(rows)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return one_text_each(documents, drawn)
+
+
+def one_text_each(documents: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Documents of the drawn ids, few by number; of rows with one id that with the smallest hash of its text."""
+    rows = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    same = [F.any_value(c).alias(c) for c in drawn.columns if c != "doc_id"]
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), *same)
 
 
 def collect_vectors(sample: DataFrame, bits: int, streams: Callable = unigrams_and_bigrams, **options) -> tuple[list[Vector], np.ndarray]:

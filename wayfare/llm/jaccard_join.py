@@ -368,8 +368,29 @@ def near_duplicates(documents: DataFrame, words: int = 5, num: int = 80, den: in
 def keep_one_each(documents: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id stays.
 
-    Empty texts link with nothing and stay; so do rows with a null id.
+    Rows are told apart by a hash of id and text, so rows with a null id take part as all
+    others do; a null id comes after all ids. Of rows that are equal in id and text one
+    stays. Texts without words link with nothing and stay.
     """
-    found = near_duplicates(documents, words, num, den)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g._gone"), "left_anti")
+    bound_batches(documents.sparkSession)
+    columns = documents.columns
+    keyed = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.xxhash64("doc_id", "text").alias("key"))
+    rows = keyed.select("key", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    counted = materialize(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")))
+    repeated = counted.where("n > 1")
+    texts = rows.select(F.col("key").alias("doc_id"), "text")
+    if not repeated.isEmpty():
+        texts = texts.dropDuplicates(["doc_id"])
+    found = JaccardJoin(texts, words, num, den).components()
+    found = materialize(found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("component"), "n_shingles"))
+    linked = found.where("n_shingles > 0").join(counted, "key")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
+    stays = linked.groupBy("component").agg(first).select("component", F.col("first.key").alias("stays"))
+    gone = linked.join(stays, "component").where("key <> stays").select("key")
+    left = keyed.join(gone, "key", "left_anti")
+    if not repeated.isEmpty():
+        # Copies of a row that stays; those without words are no copies.
+        several = repeated.join(found.where("n_shingles > 0"), "key").select("key")
+        once = left.join(several, "key", "left_semi").groupBy("key").agg(F.any_value("row").alias("row"))
+        left = left.join(several, "key", "left_anti").select("key", "row").unionByName(once.select("key", "row"))
+    return left.select("row.*")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.features import LinearModel, fit_ftrl, labelled_sample, remainder, sigmoid
+from wayfare.llm.features import LinearModel, fit_ftrl, labelled_sample, one_text_each, remainder, sigmoid
 from wayfare.llm.words import Words, bound_batches, combine, hash_words, word_chunks
 
 FOLDS = 3
@@ -253,6 +253,9 @@ def _feature_indices(words: Words) -> list[np.ndarray]:
     return [(streams[s] >> shift).astype(np.int32) for s in (0, *PREFIXES)]
 
 
+_FTRL = {"alpha": 1.0, "l1": 4.0, "l2": 0.01, "passes": 5}
+
+
 def fit(documents: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROWS, training_rows: int = TRAINING_ROWS) -> LinearModel:
     """Voters, label model and classifier, from documents outside the held-out fold."""
     bound_batches(documents.sparkSession)
@@ -264,7 +267,7 @@ def fit(documents: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROW
     model = fit_label_model(vote_sums(documents, voters), prior)
     ids = documents.where(learned).select("doc_id").dropDuplicates()
     drawn = ids.orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id").limit(training_rows)
-    sample = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    sample = one_text_each(documents, drawn)
 
     def examples(batches):
         for batch in batches:
@@ -278,19 +281,32 @@ def fit(documents: DataFrame, labels: DataFrame, lexicon_rows: int = LEXICON_ROW
                 names=["doc_id", "target", "indices"],
             )
 
+    def train(batches):
+        """All examples are in one task: they are ``training_rows`` at most, as distinct features."""
+        parts = list(batches)
+        if not parts:
+            return
+        got = pa.Table.from_batches(parts).sort_by("doc_id")
+        target = got["target"].to_numpy()
+        texts = np.zeros(1 << BITS, np.int32)
+        for own in got["indices"]:
+            texts[np.asarray(own.values)] += 1
+        # Terms of one or two texts teach nothing; without them little of the sample stays in memory.
+        lists = [i[texts[i] >= _LEAST_TEXTS] for i in (np.asarray(own.values) for own in got["indices"])]
+        one = np.ones(max(map(len, lists), default=0), np.float32)
+        model = fit_ftrl([(i, one[: len(i)]) for i in lists], target, BITS, **_FTRL)
+        columns = [pa.array([model.indices], pa.list_(pa.int32())), pa.array([model.weights], pa.list_(pa.float32())), pa.array([model.bias])]
+        yield pa.RecordBatch.from_arrays(columns, names=["indices", "weights", "bias"])
+
     kind = sample.schema["doc_id"].dataType.simpleString()
-    got = sample.mapInArrow(examples, f"doc_id {kind}, target double, indices array<int>").toArrow().sort_by("doc_id")
-    target = got["target"].to_numpy()
-    texts = np.zeros(1 << BITS, np.int32)
-    for own in got["indices"]:
-        texts[np.asarray(own.values)] += 1
-    # Terms of one or two texts teach nothing; without them little of the sample stays in memory.
-    lists = [i[texts[i] >= _LEAST_TEXTS] for i in (np.asarray(own.values) for own in got["indices"])]
-    del got
-    pa.default_memory_pool().release_unused()
-    one = np.ones(max(map(len, lists), default=0), np.float32)
-    vectors = [(i, one[: len(i)]) for i in lists]
-    return fit_ftrl(vectors, target, BITS, alpha=1.0, l1=4.0, l2=0.01, passes=5)
+    made = sample.mapInArrow(examples, f"doc_id {kind}, target double, indices array<int>")
+    # An executor trains, so that the driver gets the weights alone.
+    fitted = made.repartition(1).mapInArrow(train, "indices array<int>, weights array<float>, bias double").toArrow()
+    if not fitted.num_rows:
+        return fit_ftrl([], np.empty(0), BITS, **_FTRL)
+    row = fitted.slice(0, 1)
+    indices, weights = (np.asarray(row[c].combine_chunks().values) for c in ("indices", "weights"))
+    return LinearModel(BITS, indices, weights, row["bias"][0].as_py())
 
 
 def _scores(texts: pa.Array, model: LinearModel, table: np.ndarray) -> np.ndarray:
