@@ -6,6 +6,7 @@ import re
 import pytest
 import xxhash
 
+from wayfare.llm import decontaminate
 from wayfare.llm import jaccard_join as J
 from wayfare.llm import line_dedup as D
 from wayfare.llm.components import connected_components
@@ -209,3 +210,18 @@ def test_line_dedup_odd_rows(make_documents, odd_rows):
 
 def test_cut_takes_blank_lines_inside_a_run():
     assert D.cut("a\n\nb\n\nc", [(0, 2)]) == ("\nc", 3, 2)
+
+
+def test_rows_without_an_id_take_part(spark, make_documents):
+    """A null id neither saves a copy nor a leak; of equal rows one stays; texts without words all stay."""
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, text), (4, text + " end"), (3, text), (3, text), (None, other), (None, other), (None, None), (8, ""), (8, "")]
+    kept = J.keep_one_each(make_documents(rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(3, text), (None, other), (None, None), (8, ""), (8, "")], key=repr
+    )
+    assert kept.columns == make_documents(rows).columns
+    benchmark = spark.createDataFrame([(1, other)], "item_id long, text string")
+    left = decontaminate.clean_documents(make_documents(rows), benchmark)
+    assert sorted((r.text or "" for r in left.collect())) == sorted(["", "", "", text, text, text, text + " end"])
