@@ -5,7 +5,7 @@
    has with itself. Posting lists are cut into blocks with their largest impact.
 2. Search. A document's passages are windows of words that overlap by half. A vectorised
    bound (sum of block maxima per range of items) rules out most passages; block-max WAND
-   finds all items that the rest retrieve, none left out.
+   finds all items that the rest retrieve in the ranges left, none left out.
 3. Verification. Question and answer (the last sentence) of a retrieved item are compared
    with the whole document by their word 5-grams.
 
@@ -132,10 +132,25 @@ class Index:
             out[maybe] = np.where(self.terms[at] == hashes[maybe], at, -1)
         return out
 
-    def retrieve(self, query: list[int]) -> list[tuple[int, float]]:
-        """Block-max WAND: all (item, score) with a score of at least 1 for a set of terms."""
-        lists = [(self.postings[t], self.impacts[t], self.block_maxima[t], float(self.term_maxima[t])) for t in query]
-        places = [0] * len(lists)
+    def retrieve(self, query: list[int], ranges: list[int] | None = None) -> list[tuple[int, float]]:
+        """Block-max WAND: all (item, score) with a score of at least 1 for a set of terms.
+
+        Only in ``ranges``, where given; no item of another one may reach 1.
+        """
+        if ranges is None:
+            ranges = list(range(self.range_maxima.shape[1]))
+        out = []
+        for r, maxima in zip(ranges, self.range_maxima[query][:, ranges].T.tolist()):
+            out += self._retrieve_in(r, [(t, m) for t, m in zip(query, maxima) if m > 0])
+        return out
+
+    def _retrieve_in(self, number: int, query: list[tuple[int, float]]) -> list[tuple[int, float]]:
+        """``retrieve`` in one range of items, with the largest impact of each term there."""
+        width = max(1, -(-len(self.ids) // _RANGES))
+        # The maxima are of single precision.
+        lists = [(self.postings[t], self.impacts[t], self.block_maxima[t], m * (1 + 1e-6)) for t, m in query]
+        places = [bisect_left(own, number * width) for own, *_ in lists]
+        stops = [bisect_left(own, (number + 1) * width, at) for (own, *_), at in zip(lists, places)]
         live = list(range(len(lists)))
         out = []
         while live:
@@ -167,14 +182,14 @@ class Index:
                 for i in live[: pivot + 1]:
                     own, impacts, _, _ = lists[i]
                     at = bisect_left(own, item, places[i])
-                    if at < len(own) and own[at] == item:
+                    if at < stops[i] and own[at] == item:
                         score += impacts[at]
                 if score >= 1:
                     out.append((item, score))
                 target = item + 1
             for i in live[: pivot + 1]:
                 places[i] = bisect_left(lists[i][0], target, places[i])
-            live = [i for i in live if places[i] < len(lists[i][0])]
+            live = [i for i in live if places[i] < stops[i]]
         return out
 
     def search(self, words: Words, stride: int = STRIDE) -> list[tuple[int, int, float]]:
@@ -211,10 +226,11 @@ class Index:
         best: dict[tuple[int, int], float] = {}
         for k in hopeful:
             own = term[begins[k] : ends[k]]
-            if self.range_maxima[own].sum(axis=0).max() < 1 - 1e-4:
+            ranges = np.flatnonzero(self.range_maxima[own].sum(axis=0) >= 1 - 1e-4)
+            if not len(ranges):
                 continue
             text = int(np.searchsorted(window_from, passage[begins[k]], "right")) - 1
-            for item, score in self.retrieve(own.tolist()):
+            for item, score in self.retrieve(own.tolist(), ranges.tolist()):
                 if score > best.get((text, item), 0):
                     best[text, item] = score
         return [(t, i, s) for (t, i), s in sorted(best.items())]
